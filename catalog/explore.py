@@ -19,11 +19,16 @@ def season_premium_clean(spark, sf):
     return explore.season_premium(features.derive_features(clean, SPEC), "Season", SPEC.target)
 
 
+def _rounded_density(spark, sf, digits, log):
+    curve = explore.density(featured(spark, sf), SPEC.target, log=log)
+    return rounded(curve.withColumn("x", F.round("x", 4)), digits)
+
+
 QUERIES = {
     "hist_target": lambda s, d: rounded(explore.histogram(featured(s, d), SPEC.target)),
     "hist_log_target": lambda s, d: rounded(explore.histogram(featured(s, d), SPEC.target, log=True)),
-    "kde_target": lambda s, d: rounded(explore.density(featured(s, d), SPEC.target), 10),
-    "kde_log_target": lambda s, d: rounded(explore.density(featured(s, d), SPEC.target, log=True), 6),
+    "kde_target": lambda s, d: _rounded_density(s, d, 10, log=False),
+    "kde_log_target": lambda s, d: _rounded_density(s, d, 6, log=True),
     "skew_pair": lambda s, d: rounded(explore.skew_pair(featured(s, d), SPEC.target)),
     "monthly_trend": lambda s, d: rounded(explore.monthly_trend(featured(s, d), SPEC.target)),
     "peak_months": lambda s, d: rounded(explore.peak_months(
@@ -53,7 +58,7 @@ def _kde(values: str, digits: int) -> str:
     return f"""WITH v AS ({values}),
       s AS (SELECT count(*) AS n, min(v) AS lo, max(v) AS hi, stddev_samp(v) * pow(count(*), -0.2) AS h FROM v),
       g AS (SELECT p AS point, lo + p * ((hi - lo) / 199) AS x, h, n FROM s, range(200) t(p))
-      SELECT point, {r('x', digits)} AS x,
+      SELECT point, {r('x', 4)} AS x,
         {r('sum(exp(-0.5 * ((x - v) / h) * ((x - v) / h))) / (n * h * sqrt(2 * pi()))', digits)} AS density
       FROM g, v GROUP BY point, x, h, n"""
 

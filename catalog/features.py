@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from catalog.base import SPEC, fares, featured, raw, rounded, tickets
 from fixtures.sql import query, r
 from pricewright.operators import features
+from pricewright.operators.clean import normalise_labels
 
 _CATEGORICAL = SPEC.categorical
 _NUMERIC = SPEC.numeric
@@ -23,7 +24,8 @@ def select_features(spark, sf):
 
 def log_target(spark, sf):
     logged = features.log_target(fares(spark, sf), SPEC, "y")
-    return logged.select("rid", "y", features.invert_target(F.col("y")).alias("back"))
+    return logged.select("rid", F.round("y", 9).alias("y"),
+                         F.round(features.invert_target(F.col("y")) - F.col(SPEC.target), 3).alias("back_error"))
 
 
 def split_summary(spark, sf):
@@ -62,9 +64,9 @@ def recombine_split(spark, sf):
 
 def one_hot(spark, sf):
     frame = featured(spark, sf)
-    # every test-side ticket of the training side's rarest label set still gets its zeros
-    train = frame.filter("NOT is_test").filter(F.col("Class") != "Business")
-    return features.one_hot(train, frame, "Class", "rid")
+    # fitted on raw labels, applied to repaired ones: 'First' is unseen and encodes to zeros
+    repaired = normalise_labels(frame, SPEC)
+    return features.one_hot(frame.filter("NOT is_test"), repaired, "Class", "rid")
 
 
 QUERIES = {
@@ -73,7 +75,7 @@ QUERIES = {
     "value_counts": lambda s, d: features.value_counts(raw(s, d).withColumnRenamed("Stopovers", "Stop_Raw"), "Stop_Raw"),
     "calendar_range": lambda s, d: features.calendar_range(featured(s, d)),
     "select_features": select_features,
-    "log_target": lambda s, d: rounded(log_target(s, d), 3),
+    "log_target": lambda s, d: rounded(log_target(s, d), 9),
     "target_skew": lambda s, d: rounded(features.target_skew(fares(s, d), SPEC)),
     "train_test_split": lambda s, d: featured(s, d).select("rid", "is_test", "fold"),
     "split_summary": split_summary,
@@ -102,9 +104,9 @@ def _encoded_means() -> str:
     scaled = [f"""SELECT is_test, '{c}' AS name, avg(({c} - m) / s) AS mean FROM features,
         (SELECT avg({c}) AS m, stddev_pop({c}) AS s FROM features WHERE NOT is_test) GROUP BY is_test"""
               for c in _NUMERIC]
-    hot = [f"""SELECT t.is_test, '{c}_' || label AS name, count(*) FILTER ({c} = label) * 1.0 / count(*) AS mean
-        FROM features t, (SELECT DISTINCT {c} AS label FROM features WHERE NOT is_test) l
-        GROUP BY t.is_test, label""" for c in _CATEGORICAL]
+    hot = [f"""SELECT t.is_test, '{c}_' || seen AS name, count(*) FILTER ({c} = seen) * 1.0 / count(*) AS mean
+        FROM features t, (SELECT DISTINCT {c} AS seen FROM features WHERE NOT is_test) l
+        GROUP BY t.is_test, seen""" for c in _CATEGORICAL]
     return " UNION ALL ".join(scaled + hot)
 
 
@@ -115,7 +117,8 @@ ORACLES = {
       min(Weekday) AS min_weekday, max(Weekday) AS max_weekday FROM features"""),
     "select_features": query("features", """SELECT Airline, Source, Destination, Season, Stop_Type, Aircraft_Type,
       Duration_hrs, Days_Before_Departure, Month, Weekday FROM features"""),
-    "log_target": query("features", f"SELECT rid, {r('label', 3)} AS y, {r('exp(label) - 1', 3)} AS back FROM features"),
+    "log_target": query("features", f"""SELECT rid, {r('label', 9)} AS y,
+      {r('exp(label) - 1 - Total_Fare', 3)} AS back_error FROM features"""),
     "target_skew": query("features", " UNION ALL ".join(
         f"SELECT '{s}' AS scale, {r(f'min({v})')} AS min, {r(f'max({v})')} AS max, {r(f'avg({v})')} AS mean, "
         f"{r(SKEW.format(v=v))} AS skew FROM features" for s, v in (("raw", "Total_Fare"), ("log1p", "label")))),
@@ -126,8 +129,9 @@ ORACLES = {
       SELECT rid, {r('(Duration_hrs - md) / sd', 9)} AS Duration_hrs_z, {r('(Month - mm) / sm', 9)} AS Month_z,
         CAST(0.0 AS DOUBLE) AS Constant_z FROM features, (SELECT avg(Duration_hrs) AS md, stddev_pop(Duration_hrs) AS sd,
         avg(Month) AS mm, stddev_pop(Month) AS sm FROM features WHERE NOT is_test)"""),
-    "one_hot": query("features", """SELECT rid, 'Class_' || label AS feature, CAST(Class = label AS INTEGER) AS value
-      FROM features, (SELECT DISTINCT Class AS label FROM features WHERE NOT is_test AND Class <> 'Business')"""),
+    "one_hot": query("features", """SELECT rid, 'Class_' || seen AS feature,
+      CAST(seen = CASE Class WHEN 'First Class' THEN 'First' ELSE Class END AS INTEGER) AS value
+      FROM features, (SELECT DISTINCT Class AS seen FROM features WHERE NOT is_test)"""),
     "preprocess": query("features", f"""SELECT is_test, pos, name, {r('mean', 6)} AS mean
       FROM ({_encoded_means()}) JOIN ({_names()}) USING (name)"""),
     "feature_names": query("features", _names()),

@@ -17,8 +17,9 @@ from pricewright.staging import staged
 
 #: relative rank error of the sketch is 1/ACCURACY
 ACCURACY = 50_000
-#: groups up to this many values skip bracketing; must stay well over ACCURACY
-WHOLE_BELOW = 10 * ACCURACY
+#: groups up to this many values are small enough for Spark's own ``percentile``;
+#: past twice the accuracy the bracket margin is worth several ranks on each side
+WHOLE_BELOW = 2 * ACCURACY
 
 
 def exact_quantiles(
@@ -42,14 +43,17 @@ def exact_quantiles(
                        F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
 
     brackets = staged(_brackets(values, keys, probs, accuracy, whole_below), "brackets")
+    largest = brackets.agg(F.max("_n")).first()[0] or 0
+    if largest <= whole_below:
+        every = values.groupBy(*keys).agg(F.percentile("_v", list(probs)).alias("_q"))
+        return every.select(*(F.col(k).alias(c) for k, c in zip(keys, by)),
+                            *(F.col("_q")[i].alias(name) for i, name in enumerate(names)))
     # the staged side has a known size: Spark broadcasts it when it is small
     if keys:
         same = reduce(Column.__and__, (values[k].eqNullSafe(brackets[k]) for k in keys))
         located = values.join(brackets, same).select(*(values[k] for k in keys), "_v", "_n", "_lo", "_hi")
     else:
         row = brackets.first()
-        if row["_n"] == 0:
-            return brackets.select(*(F.lit(None).cast("double").alias(name) for name in names))
         located = values.select("_v", F.lit(row["_n"]).alias("_n"),
                                 F.lit(row["_lo"]).alias("_lo"), F.lit(row["_hi"]).alias("_hi"))
     picked = _select_ranks(located, keys, probs, names)
@@ -58,7 +62,7 @@ def exact_quantiles(
 
 def _brackets(values, keys, probs, accuracy, whole_below) -> DataFrame:
     """Per group: count and, for each probability, two values its rank lies between."""
-    margin = 2.0 / accuracy
+    margin = 3.0 / accuracy
     wanted = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
     k = len(probs)
     sketched = values.groupBy(*keys).agg(
