@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import wraps
 from importlib import import_module
 
-_SECTIONS = ("sources", "profiling", "cleaning", "features", "explore")
+from pricewright.session import tuned
+
+_SECTIONS = ("sources", "profiling", "cleaning", "features", "explore", "models", "evaluate", "scoring")
 
 
 def _merged(attribute: str) -> dict:
@@ -14,8 +17,15 @@ def _merged(attribute: str) -> dict:
     return out
 
 
+def _in_tuned_session(query):
+    @wraps(query)
+    def run(spark, sf_dir):
+        return query(tuned(spark), sf_dir)
+    return run
+
+
 def queries() -> dict:
-    return _merged("QUERIES")
+    return {name: _in_tuned_session(query) for name, query in _merged("QUERIES").items()}
 
 
 def oracles() -> dict:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pricewright.functions.numeric import FOLD_STREAM, TEST_STREAM, bucket
 from pricewright.spec import AIRFARES
-from pricewright.staging import new_path
+from pricewright.staging import new_path, spread
 
 _PATHS: dict[tuple[str, str, str], str] = {}
 
@@ -36,7 +36,8 @@ def _build_fares(spark: SparkSession, sf_dir: str) -> DataFrame:
     cn = t("nation").select(F.col("n_nationkey").alias("cn_key"), F.col("n_name").alias("Source"))
     sn = t("nation").select(F.col("n_nationkey").alias("sn_key"), F.col("n_name").alias("Destination"))
     joined = (
-        t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        # a small table can be a single row group, which one task would read alone
+        spread(t("lineitem")).join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(cn, F.col("c_nationkey") == F.col("cn_key"))
         .join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))

@@ -28,12 +28,13 @@ def bucket(key: Column | str, buckets: int, seed: int, stream: int) -> Column:
 
 def drop_nan(column: Column) -> Column:
     """NaN becomes NULL: one kind of missing value, as NaN compares greater than anything."""
-    return F.when(~F.isnan(column), column)
+    return F.nanvl(column, F.lit(None).cast("double"))
 
 
 def parse_double(text: Column) -> Column:
     """Text to double, NULL where it is no number. Java's ``1.5d`` suffixes are no numbers."""
-    suffixed = F.trim(text).rlike("[0-9.][dDfF]$")
+    # the pattern only runs on the few texts that end in such a letter
+    suffixed = F.right(F.rtrim(text), F.lit(1)).isin("d", "D", "f", "F") & F.rtrim(text).rlike("[0-9.][dDfF]$")
     return drop_nan(F.when(~suffixed, text.try_cast("double")))
 
 

@@ -50,8 +50,8 @@ def cv_report(scores: DataFrame, folds: int) -> DataFrame:
     return summary.orderBy(F.desc("mean"), "model")
 
 
-def cv_unstable(report: DataFrame) -> DataFrame:
-    return report.filter(F.col("range") > STABLE_RANGE).select("model", "mean", "std", "min", "max", "range")
+def cv_unstable(report: DataFrame, limit: float = STABLE_RANGE) -> DataFrame:
+    return report.filter(F.col("range") > limit).select("model", "mean", "std", "min", "max", "range")
 
 
 def cv_summary(metrics: DataFrame, folds: int) -> DataFrame:

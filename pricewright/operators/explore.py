@@ -138,15 +138,17 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pairwise-complete Pearson correlation, long form; one aggregate over the upper half."""
     columns = [c for c in columns if c in df.columns]
     cells = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    wide = cells.agg(*(pearson(F.col(columns[i]), F.col(columns[j])).alias(f"_{i}_{j}") for i, j in pairs))
-
-    def entry(i: int, j: int) -> Column:
-        return F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(columns[i]).alias("x"),
-                        F.lit(columns[j]).alias("y"), F.col(f"_{min(i, j)}_{max(i, j)}").alias("corr"))
-
     every = range(len(columns))
-    return wide.select(F.inline(F.array(*(entry(i, j) for i in every for j in every))))
+    halves = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
+                                F.col(columns[i]).alias("a"), F.col(columns[j]).alias("b"))
+                       for i in every for j in every if i <= j))
+    # pairs are made and folded inside each task; one row per pair leaves it
+    half = (cells.select(F.inline(halves)).groupBy("i", "j")
+            .agg(pearson(F.col("a"), F.col("b")).alias("corr")))
+    both = half.unionByName(half.filter("i < j").select(
+        F.col("j").alias("i"), F.col("i").alias("j"), "corr"))
+    names = F.array(*(F.lit(c) for c in columns))
+    return both.select("i", "j", names[F.col("i")].alias("x"), names[F.col("j")].alias("y"), "corr")
 
 
 def corr_lower(df: DataFrame, columns: Sequence[str]) -> DataFrame:

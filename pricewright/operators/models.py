@@ -20,6 +20,7 @@ Params = Mapping[str, Any]
 #: trees without a depth limit stop here; MLlib allows at most 30
 OPEN_DEPTH = 15
 MAX_BINS = 256
+_VANISHING = 1e-9
 
 NAMES = {
     "linear": "Linear Regression",
@@ -96,7 +97,10 @@ def estimator(name: str, params: Params, stats: LabelStats | None = None, *,
     io = {"featuresCol": features, "labelCol": label, "predictionCol": "prediction"}
     p = dict(params)
     if name == "linear":
-        return LinearRegression(solver="normal", regParam=0.0, maxIter=1000, tol=1e-12, **io)
+        # one-hot columns of one categorical sum to one, so plain least squares has no
+        # single answer; a vanishing penalty picks the smallest one, in closed form
+        return LinearRegression(solver="normal", regParam=_VANISHING * stats.deviation, elasticNetParam=0.0,
+                                standardization=False, **io)
     if name == "ridge":
         # MLlib averages the loss and scales the penalty by the label deviation
         penalty = p.get("alpha", 1.0) * stats.deviation / stats.rows
@@ -132,7 +136,7 @@ def estimator(name: str, params: Params, stats: LabelStats | None = None, *,
 
 def fit(name: str, params: Params, df: DataFrame, **options) -> Model:
     """Fit on a table with ``features`` and ``label``."""
-    stats = label_stats(df, options.get("label", "label")) if name == "ridge" else None
+    stats = label_stats(df, options.get("label", "label")) if name in ("linear", "ridge") else None
     return estimator(name, params, stats, **options).fit(df)
 
 

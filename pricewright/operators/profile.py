@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -22,10 +23,17 @@ def profile_shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)))
 
 
-def _cells(df: DataFrame) -> DataFrame:
-    """Long form (column, value as text)."""
-    texts = df.select(*(F.col(quoted(c)).cast("string").alias(c) for c in df.columns))
-    return texts.unpivot([], [F.col(quoted(c)) for c in texts.columns], "column", "value")
+def _cells(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
+    """Long form (column, value) of columns of one type."""
+    names = [F.col(quoted(f.name)) for f in fields]
+    return df.select(*names).unpivot([], names, "column", "value")
+
+
+def _by_type(df: DataFrame) -> list[list[T.StructField]]:
+    groups: dict[str, list[T.StructField]] = {}
+    for field in df.schema.fields:
+        groups.setdefault(field.dataType.simpleString(), []).append(field)
+    return list(groups.values())
 
 
 def profile_columns(df: DataFrame, *, approximate: bool = False) -> DataFrame:
@@ -35,20 +43,22 @@ def profile_columns(df: DataFrame, *, approximate: bool = False) -> DataFrame:
     wide column over all tasks and folds repeated values before the shuffle.
     ``approximate`` keeps one sketch per column and shuffles only those.
     """
-    spark = df.sparkSession
-    if approximate:
-        per_column = _cells(df).groupBy("column").agg(
-            F.count(F.lit(1)).alias("rows"), F.count("value").alias("seen"),
-            F.approx_count_distinct("value").alias("unique"))
-    else:
-        per_value = _cells(df).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-        per_column = per_value.groupBy("column").agg(
+    def counted(fields: Sequence[T.StructField]) -> DataFrame:
+        cells = _cells(df, fields)
+        if approximate:
+            return cells.groupBy("column").agg(
+                F.count(F.lit(1)).alias("rows"), F.count("value").alias("seen"),
+                F.approx_count_distinct("value").alias("unique"))
+        per_value = cells.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+        return per_value.groupBy("column").agg(
             F.sum("n").alias("rows"),
             F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("seen"),
             F.count("value").alias("unique"))
-    types = spark.createDataFrame([(i, f.name, f.dataType.simpleString())
-                                   for i, f in enumerate(df.schema.fields)],
-                                  "position int, column string, dtype string")
+
+    per_column = reduce(DataFrame.unionByName, (counted(fields) for fields in _by_type(df)))
+    types = df.sparkSession.createDataFrame([(i, f.name, f.dataType.simpleString())
+                                             for i, f in enumerate(df.schema.fields)],
+                                            "position int, column string, dtype string")
     nulls = F.coalesce(F.col("rows") - F.col("seen"), F.lit(0))
     return (types.join(per_column, "column", "left")
             .select("position", "column", "dtype", nulls.alias("null_count"),

@@ -18,20 +18,23 @@ class Cleaned:
     reports: dict[str, DataFrame]
 
 
-def clean_run(raw: DataFrame, spec: TableSpec) -> Cleaned:
+def clean_run(raw: DataFrame, spec: TableSpec, *, reports: bool = True) -> Cleaned:
     """Rename, validate, coerce, bound, audit, relabel, deduplicate, impute, re-price.
 
-    Two tables are written on the way: the typed one, which the reports read
-    column by column, and the deduplicated one, so that the only full shuffle
-    runs once whatever number of statistics the imputation needs.
+    The deduplicated table is written, so that the only full shuffle runs once
+    whatever number of statistics the imputation needs. With ``reports`` the
+    typed table is written too: the reports then read single columns of it
+    instead of parsing the raw text again.
     """
     renamed = clean.validate_schema(clean.rename_columns(raw, spec), spec)
-    typed = staged(clean.coerce_types(renamed, spec), "typed")
+    typed = clean.coerce_types(renamed, spec)
+    if reports:
+        typed = staged(typed, "typed")
     in_range = clean.range_filter(typed, spec)
     # the audit precedes relabelling on purpose: it reports the raw labels
     unique = staged(clean.drop_duplicates(clean.normalise_labels(in_range, spec)), "unique")
     frame = clean.min_base_filter(impute.impute_config(unique, spec), spec)
-    return Cleaned(frame, {
+    return Cleaned(frame, {} if not reports else {
         "validation_dtypes": clean.dtype_report(renamed, typed, spec),
         "validation_ranges": clean.range_report(typed, spec),
         "validation_categoricals": clean.category_audit(in_range, spec),
@@ -40,4 +43,5 @@ def clean_run(raw: DataFrame, spec: TableSpec) -> Cleaned:
 
 
 def clean_pipeline(raw: DataFrame, spec: TableSpec) -> DataFrame:
-    return clean_run(raw, spec).frame
+    """Just the clean table."""
+    return clean_run(raw, spec, reports=False).frame

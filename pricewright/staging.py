@@ -38,3 +38,12 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core for CPU-bound passes over a small table.
+
+    A table that already has as many partitions as the cluster has cores is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
