@@ -159,9 +159,9 @@ def train_models(spark, sf):
     encoded, prep = encode_split(derived, SPEC, "rid")
     trained = train_all(encoded, prep, SPEC, "rid", params={
         "linear": {}, "ridge": {"alpha": 1.0}, "lasso": {"alpha": 1e-4}, "tree": {"max_depth": 8},
-        "forest": {"n_estimators": 20, "max_depth": 8, "max_features": 0.5},
-        "gbt_depth": {"n_estimators": 10, "learning_rate": 0.3, "max_depth": 4},
-        "gbt_leaf": {"n_estimators": 10, "learning_rate": 0.3, "num_leaves": 31, "min_child_samples": 20}})
+        "forest": {"n_estimators": 10, "max_depth": 6, "max_features": 0.5},
+        "gbt_depth": {"n_estimators": 5, "learning_rate": 0.3, "max_depth": 4},
+        "gbt_leaf": {"n_estimators": 5, "learning_rate": 0.3, "num_leaves": 31, "min_child_samples": 20}})
     return evaluate.model_ranking(trained.metrics)
 
 

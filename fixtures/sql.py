@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pricewright.functions.numeric import FOLD_STREAM, MODULUS, SIZE_STREAM, TEST_STREAM
+from pricewright.functions.numeric import FOLD_STREAM, MODULUS, SIZE_STREAM, TEST_STREAM, seed_offset
 from pricewright.sources.tables import NULL_TOKENS
 from pricewright.spec import AIRFARES as SPEC
 
 
 def bucket(key: str, buckets: int, stream: int, seed: int = SPEC.seed) -> str:
-    return f"CAST((((({key}) % {MODULUS}) * {stream} + {seed}) % {MODULUS}) * {buckets} // {MODULUS} AS INTEGER)"
+    return f"CAST((((({key}) % {MODULUS}) * {stream} + {seed_offset(seed)}) % {MODULUS}) * {buckets} // {MODULUS} AS INTEGER)"
 
 
 IS_TEST = f"({bucket('rid', 10_000, TEST_STREAM)} < 2000)"

@@ -10,7 +10,12 @@ MODULUS = 2_147_483_647
 TEST_STREAM = 950_706_376
 FOLD_STREAM = 742_938_285
 SIZE_STREAM = 1_226_874_159
-SAMPLE_STREAM = 62_089_911
+SEED_MULTIPLIER = 48_271
+
+
+def seed_offset(seed: int) -> int:
+    """Neighbouring seeds land far apart."""
+    return pow(SEED_MULTIPLIER, seed, MODULUS)
 
 
 def bucket(key: Column | str, buckets: int, seed: int, stream: int) -> Column:
@@ -21,7 +26,7 @@ def bucket(key: Column | str, buckets: int, seed: int, stream: int) -> Column:
     """
     key = F.col(key) if isinstance(key, str) else key
     mixed = (F.pmod(key.cast("bigint"), F.lit(MODULUS)) * F.lit(stream).cast("bigint")
-             + F.lit(seed)) % F.lit(MODULUS)
+             + F.lit(seed_offset(seed))) % F.lit(MODULUS)
     return F.call_function("div", mixed * F.lit(buckets), F.lit(MODULUS).cast("bigint")) \
         .cast("int")
 
