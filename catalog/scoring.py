@@ -29,7 +29,7 @@ def _pipeline(spark, sf):
 
 def score_batch(spark, sf):
     scored = score.score_batch(_requests(spark, sf), _pipeline(spark, sf), DURATION)
-    return rounded(scored.select("rid", "Duration_hrs", "predicted_fare"))
+    return rounded(scored.select("rid", "Duration_hrs", "predicted_fare"), 2)
 
 
 def score_interval(spark, sf):
@@ -63,7 +63,7 @@ def stream(spark, sf):
     requests = request_stream(spark, arriving, _requests(spark, sf).schema)
     target = new_path(spark, "scored")
     score_stream(requests, _pipeline(spark, sf), DURATION, target, new_path(spark, "progress")).awaitTermination()
-    return rounded(spark.read.parquet(target).select("rid", "Duration_hrs", "predicted_fare"))
+    return rounded(spark.read.parquet(target).select("rid", "Duration_hrs", "predicted_fare"), 2)
 
 
 QUERIES = {
@@ -73,8 +73,8 @@ QUERIES = {
     "score_stream": stream,
 }
 
-_LINE = f"""SELECT rid, {r('Duration_hrs')} AS Duration_hrs,
-  {r('exp(a + b * Duration_hrs) - 1')} AS predicted_fare FROM features,
+_LINE = f"""SELECT rid, {r('Duration_hrs', 2)} AS Duration_hrs,
+  {r('exp(a + b * Duration_hrs) - 1', 2)} AS predicted_fare FROM features,
   (SELECT regr_slope(label, Duration_hrs) AS b, regr_intercept(label, Duration_hrs) AS a
    FROM features WHERE NOT is_test)"""
 

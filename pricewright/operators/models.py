@@ -20,7 +20,7 @@ Params = Mapping[str, Any]
 #: trees without a depth limit stop here; MLlib allows at most 30
 OPEN_DEPTH = 15
 MAX_BINS = 256
-_VANISHING = 1e-9
+_VANISHING = 1e-10
 
 NAMES = {
     "linear": "Linear Regression",
