@@ -12,7 +12,7 @@ from fixtures.sql import query, r
 from pricewright.functions.numeric import r_squared
 from pricewright.operators import evaluate
 from pricewright.sources import artifacts
-from pricewright.staging import new_path
+from pricewright.staging import new_path, staged
 
 #: "models" of the score tables: group means by one column each
 _MODELS = ("Class", "Season", "Airline", "Stop_Type")
@@ -22,17 +22,18 @@ _LIMITS = (evaluate.STABLE_RANGE, 0.002)
 def predictions(spark, sf):
     """Test rows with the training mean of their cabin and season."""
     frame = featured(spark, sf)
-    means = frame.filter("NOT is_test").groupBy("Class", "Season").agg(F.avg("label").alias(evaluate.PREDICTED))
+    means = staged(frame.filter("NOT is_test").groupBy("Class", "Season")
+                   .agg(F.avg("label").alias(evaluate.PREDICTED)), "means")
     return (frame.filter("is_test").join(means, ["Class", "Season"])
             .select("rid", F.col("label").alias(evaluate.ACTUAL), evaluate.PREDICTED))
 
 
 def _out_of_fold(frame, column):
     """Each training row with the mean of its group over the other folds."""
-    sums = frame.groupBy(column, "fold").agg(F.sum("label").alias("s"), F.count("label").alias("n"))
+    sums = staged(frame.groupBy(column, "fold").agg(F.sum("label").alias("s"), F.count("label").alias("n")), "sums")
     totals = sums.groupBy(column).agg(F.sum("s").alias("ts"), F.sum("n").alias("tn"))
-    means = sums.join(totals, column).select(
-        column, "fold", ((F.col("ts") - F.col("s")) / (F.col("tn") - F.col("n"))).alias(evaluate.PREDICTED))
+    means = staged(sums.join(totals, column).select(
+        column, "fold", ((F.col("ts") - F.col("s")) / (F.col("tn") - F.col("n"))).alias(evaluate.PREDICTED)), "means")
     return frame.join(means, [column, "fold"]).select(
         F.lit(column).alias("model"), "fold", F.col("label").alias(evaluate.ACTUAL), evaluate.PREDICTED)
 

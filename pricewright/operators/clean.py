@@ -155,7 +155,8 @@ def category_audit(df: DataFrame, spec: TableSpec) -> DataFrame:
     rows = counted.groupBy("column").agg(F.sum("count").alias("rows"))
     return (counted.filter("unexpected_val IS NOT NULL")
             .join(F.broadcast(allowed), ["column", "unexpected_val"], "left_anti")
-            .join(rows, "column").join(F.broadcast(expected), "column")
+            # both have one row per audited column
+            .join(F.broadcast(rows), "column").join(F.broadcast(expected), "column")
             .select("column", "unexpected_val", "count",
                     percent(F.col("count"), F.col("rows"), 2).alias("pct"), "expected_set"))
 

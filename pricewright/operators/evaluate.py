@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pricewright.functions.numeric import r_squared
 from pricewright.operators.explore import histogram
+from pricewright.operators.features import invert_target
 
 # t(0.975) with four degrees of freedom, normal 97.5 % quantile,
 # and the limits of a stable fold spread.
@@ -16,17 +17,20 @@ Z_95 = 1.96
 STABLE_STD = 0.03
 STABLE_RANGE = 0.05
 
-#: columns of a prediction table, on the log scale
+#: columns of a prediction table, on the scale of the label: log1p unless ``log=False``
 ACTUAL, PREDICTED = "y_true_log", "y_pred_log"
 
 
-def _amounts() -> tuple[Column, Column]:
-    return F.expm1(ACTUAL), F.expm1(PREDICTED)
+def _amounts(log: bool) -> tuple[Column, Column]:
+    return invert_target(F.col(ACTUAL), log), invert_target(F.col(PREDICTED), log)
 
 
-def eval_metrics(predictions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """R2 on both scales, MAE and RMSE in currency; one aggregate for all models."""
-    actual, predicted = _amounts()
+def eval_metrics(predictions: DataFrame, by: Sequence[str] = (), *, log: bool = True) -> DataFrame:
+    """R2 on both scales, MAE and RMSE in currency; one aggregate for all models.
+
+    Without a log target both R2 are the one in currency.
+    """
+    actual, predicted = _amounts(log)
     error = actual - predicted
     return predictions.groupBy(*by).agg(
         F.bround(r_squared(F.col(ACTUAL), F.col(PREDICTED)), 4).alias("r2_log"),
@@ -76,31 +80,31 @@ def serving_metrics(metrics: DataFrame) -> DataFrame:
         "model", F.col("cv_mean").alias("r2"), "mae", "rmse")
 
 
-def residual_table(predictions: DataFrame) -> DataFrame:
+def residual_table(predictions: DataFrame, *, log: bool = True) -> DataFrame:
     """Actual, predicted and residual on both scales, keyed as the predictions are."""
-    actual, predicted = _amounts()
+    actual, predicted = _amounts(log)
     return (predictions.withColumn("residual_log", F.col(ACTUAL) - F.col(PREDICTED))
             .withColumn("actual", actual).withColumn("predicted", predicted)
             .withColumn("residual", F.col("actual") - F.col("predicted")))
 
 
-def pred_vs_actual(predictions: DataFrame, *keep: str) -> DataFrame:
+def pred_vs_actual(predictions: DataFrame, *keep: str, log: bool = True) -> DataFrame:
     """Every point in currency with the limits of the y = x line."""
-    points = predictions.select(*keep, *(c.alias(n) for c, n in zip(_amounts(), ("actual", "predicted"))))
+    points = predictions.select(*keep, *(c.alias(n) for c, n in zip(_amounts(log), ("actual", "predicted"))))
     limits = points.agg(F.least(F.min("actual"), F.min("predicted")).alias("lo"),
                         F.greatest(F.max("actual"), F.max("predicted")).alias("hi"))
     return (points.withColumn("line_lo", limits.select("lo").scalar())
             .withColumn("line_hi", limits.select("hi").scalar()))
 
 
-def residual_hist(predictions: DataFrame, bins: int = 60) -> DataFrame:
+def residual_hist(predictions: DataFrame, bins: int = 60, *, log: bool = True) -> DataFrame:
     """Histogram of currency residuals with the position of the mean line."""
-    residuals = residual_table(predictions).select("residual")
+    residuals = residual_table(predictions, log=log).select("residual")
     mean = residuals.agg(F.avg("residual").alias("m")).scalar()
     return histogram(residuals, "residual", bins).withColumn("mean_residual", mean)
 
 
-def residual_std(predictions: DataFrame) -> DataFrame:
+def residual_std(predictions: DataFrame, *, log: bool = True) -> DataFrame:
     """Population deviation of currency residuals and the 95 % half width. One row."""
-    return (residual_table(predictions).agg(F.stddev_pop("residual").alias("residual_std"))
+    return (residual_table(predictions, log=log).agg(F.stddev_pop("residual").alias("residual_std"))
             .withColumn("half_width", F.col("residual_std") * Z_95))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pricewright.functions.numeric import pearson, unbiased_skew
 from pricewright.functions.quantiles import exact_quantiles
+from pricewright.staging import staged
 
 
 def _value(df: DataFrame, column: str, log: bool = False) -> DataFrame:
@@ -108,7 +109,8 @@ def box_stats(df: DataFrame, by: str, target: str) -> DataFrame:
     rows = df.select(by, F.col(target).cast("double").alias("_v")).filter(
         F.col(by).isNotNull() & F.col("_v").isNotNull())
     quartiles = exact_quantiles(rows, "_v", [0.25, 0.5, 0.75], [by], names=["q1", "median", "q3"])
-    fenced = quartiles.withColumn("_reach", (F.col("q3") - F.col("q1")) * 1.5)
+    # written, so that its size is known: a broadcast spares the rows a shuffle by group
+    fenced = staged(quartiles.withColumn("_reach", (F.col("q3") - F.col("q1")) * 1.5), "quartiles")
     v = F.col("_v")
     inside = (v >= F.col("q1") - F.col("_reach")) & (v <= F.col("q3") + F.col("_reach"))
     return (rows.join(fenced, by).groupBy(by, "q1", "median", "q3")

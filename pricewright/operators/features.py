@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pricewright.functions.numeric import FOLD_STREAM, TEST_STREAM, bucket, unbiased_skew
 from pricewright.spec import TableSpec
@@ -53,11 +53,14 @@ def select_features(df: DataFrame, spec: TableSpec, keep: Sequence[str] = ()) ->
 
 
 def log_target(df: DataFrame, spec: TableSpec, name: str = "label") -> DataFrame:
-    return df.withColumn(name, F.log1p(F.col(spec.target).cast("double")))
+    """The learners' label: log1p of the target, or the target itself if the spec says so."""
+    y = F.col(spec.target).cast("double")
+    return df.withColumn(name, F.log1p(y) if spec.log_target else y)
 
 
-def invert_target(column):
-    return F.expm1(column)
+def invert_target(column: Column, log: bool = True) -> Column:
+    """Back to currency."""
+    return F.expm1(column) if log else column
 
 
 def target_skew(df: DataFrame, spec: TableSpec) -> DataFrame:

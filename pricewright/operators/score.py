@@ -6,18 +6,18 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from pricewright.operators.evaluate import Z_95
-from pricewright.operators.features import derive_features
+from pricewright.operators.features import derive_features, invert_target
 from pricewright.spec import TableSpec
 
 
 def score_batch(requests: DataFrame, model: PipelineModel, spec: TableSpec) -> DataFrame:
-    """Derive features as in training, predict on the log scale, return currency.
+    """Derive features as in training, predict on the label's scale, return currency.
 
     Works on streams too: nothing here keeps state.
     """
     scored = model.transform(derive_features(requests, spec))
     return scored.select(*(F.col(f"`{c}`") for c in requests.columns),
-                         F.expm1("prediction").alias("predicted_fare"))
+                         invert_target(F.col("prediction"), spec.log_target).alias("predicted_fare"))
 
 
 def score_interval(scored: DataFrame, interval: DataFrame | None = None,

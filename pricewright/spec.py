@@ -31,6 +31,8 @@ class TableSpec:
     surcharge: str = "Tax_Surcharge"
     target: str = "Total_Fare"
     min_base: float = 0.0
+    #: learn log1p of the target, report in currency
+    log_target: bool = True
     categorical: tuple[str, ...] = ()
     numeric: tuple[str, ...] = ()
     raw_required: tuple[str, ...] = ()

@@ -196,3 +196,33 @@ def test_calendar_value(spark):
         .select("Date", F.lit("Direct").alias("Stop_Raw"), F.lit("A").alias("Source"), F.lit("B").alias("Destination"))
     assert features.calendar_range(features.derive_features(df, AIRFARES)).first().asDict() == {
         "min_month": 2, "max_month": 2, "min_weekday": 3, "max_weekday": 3}
+
+
+def test_full_run_writes_reports_and_a_served_model(spark, tmp_path):
+    raw = tables.null_tokens(base.raw(spark, SF))
+    root = str(tmp_path / "full")
+    from pricewright.plans.full_run import full_run
+    done = full_run(raw, SMALL, root, version="202601010000", learners=("ridge", "lasso", "tree"), n_iter=2,
+                    grids={"ridge": {"alpha": [0.1, 10.0]}, "lasso": {"alpha": [1e-4, 0.1]},
+                           "tree": {"max_depth": [2, 4]}})
+    assert done.best in ("ridge", "lasso", "tree")
+    names = {p.rsplit("/", 1)[1] for p in done.report_paths}
+    assert {"validation_dtypes", "validation_ranges", "validation_categoricals", "validation_missing",
+            "hist_target", "box_airline", "model_metrics", "cv_report_full", "learning_curve", "ridge_vs_lasso"} <= names
+    for path in done.report_paths:
+        assert spark.read.csv(path, header=True).columns or path.endswith("cv_unstable")
+    interval = artifacts.read_interval(spark, f"{root}/residual_std")
+    requests = base.fares(spark, SF).select(*REQUEST)
+    scored = score.score_interval(score.score_batch(requests, artifacts.load_version(root, spark), SMALL), interval)
+    assert scored.filter("lower < predicted_fare AND predicted_fare < upper").count() == requests.count()
+
+
+def test_raw_target_keeps_one_scale(spark):
+    spec = replace(SMALL, log_target=False)
+    derived = features.derive_features(base.fares(spark, SF), spec)
+    encoded, prep = encode_split(derived, spec, "rid")
+    trained = train_all(encoded, prep, spec, "rid", learners=("ridge",), params={"ridge": {"alpha": 1.0}})
+    row = trained.metrics.first()
+    assert row["r2_log"] == row["r2_currency"] > 0.5 and not row["log_target"]
+    scored = score.score_batch(base.fares(spark, SF).select(*REQUEST), trained.pipeline("ridge"), spec)
+    assert 10_000 < scored.agg(F.avg("predicted_fare")).first()[0] < 200_000
