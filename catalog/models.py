@@ -166,8 +166,8 @@ def train_models(spark, sf):
 
 
 def retrain_flow(spark, sf):
-    done = retrain(null_tokens(raw(spark, sf)), SPEC, "tree", {"max_depth": 8}, new_path(spark, "retrain"),
-                   version="202601010000")
+    done = retrain(null_tokens(raw(spark, sf)), SPEC, new_path(spark, "retrain"), learner="tree",
+                   params={"max_depth": 8}, version="202601010000")
     return done.metrics.withColumn("version", F.lit(done.version)) \
         .withColumn("residual_std", done.interval.agg(F.max("residual_std").alias("x")).scalar())
 

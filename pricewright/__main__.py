@@ -21,7 +21,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--data", required=True, help="header CSV, a file or a folder of files")
     parser.add_argument("--out", required=True, help="folder on shared storage for reports and models")
     parser.add_argument("--skip-explore", action="store_true")
-    parser.add_argument("--learner", choices=sorted(NAMES), default="gbt_depth", help="retrain: which learner")
+    parser.add_argument("--learner", choices=sorted(NAMES), help="retrain another learner than the served one")
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     spark = tuned(SparkSession.builder.appName("pricewright").getOrCreate())
@@ -30,7 +30,7 @@ def main(argv: list[str] | None = None) -> None:
         done = full_run(raw, AIRFARES, args.out, explore=not args.skip_explore)
         logging.info("best learner %s, version %s", done.best, done.version)
     else:
-        again = retrain(raw, AIRFARES, args.learner, {}, args.out)
+        again = retrain(raw, AIRFARES, args.out, learner=args.learner)
         logging.info("version %s: %s", again.version, again.metrics.first().asDict())
 
 

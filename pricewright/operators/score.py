@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
@@ -10,6 +12,14 @@ from pricewright.operators.features import derive_features, invert_target
 from pricewright.spec import TableSpec
 
 
+def default_departure(requests: DataFrame, spec: TableSpec, lead: str = "Days_Before_Departure", *,
+                      today: dt.date | None = None) -> DataFrame:
+    """Requests without a departure date leave ``lead`` days from today."""
+    start = F.current_date() if today is None else F.lit(today)
+    assumed = F.date_add(start, F.col(lead).cast("int")).cast("timestamp_ntz")
+    return requests.withColumn(spec.event_time, F.coalesce(F.col(spec.event_time), assumed))
+
+
 def score_batch(requests: DataFrame, model: PipelineModel, spec: TableSpec) -> DataFrame:
     """Derive features as in training, predict on the label's scale, return currency.
 

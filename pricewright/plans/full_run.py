@@ -73,5 +73,5 @@ def full_run(raw: DataFrame, spec: TableSpec, root: str, *, explore: bool = True
     served = PipelineModel(stages=[*preprocessor.stages,
                                    full_refit(encoded, best, trained.params[best], spec.seed)])
     version = version or artifacts.version_stamp(spark)
-    artifacts.save_version(served, root, version, spark)
+    artifacts.save_version(served, root, version, spark, learner=best, params=trained.params[best])
     return Finished(best, version, served, trained, paths)

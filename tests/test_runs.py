@@ -56,6 +56,8 @@ def test_versions_and_rollback(spark, tmp_path):
     assert spread() < 0.01
     artifacts.point_to(root, "202601010000", spark)
     assert spread() > 1.9
+    with pytest.raises(FileNotFoundError, match="209901010000"):
+        artifacts.point_to(root, "209901010000", spark)
     assert len(artifacts.version_stamp(spark)) == 12
 
 
@@ -175,7 +177,9 @@ def test_training_run_compares_all_learners(spark):
 def test_retraining_judges_on_unseen_rows(spark, tmp_path):
     raw = tables.null_tokens(base.raw(spark, SF))
     root = str(tmp_path / "run")
-    done = retrain(raw, SMALL, "tree", {"max_depth": 4}, root, version="202601010000")
+    with pytest.raises(FileNotFoundError, match="training job"):
+        retrain(raw, SMALL, root)
+    done = retrain(raw, SMALL, root, learner="tree", params={"max_depth": 4}, version="202601010000")
     row = done.metrics.first()
     assert 0.5 < row["r2_log"] < 1 and row["mae"] < row["rmse"]
     assert done.interval.first()["residual_std"] > 0
@@ -183,6 +187,16 @@ def test_retraining_judges_on_unseen_rows(spark, tmp_path):
     log = {(r["stage"], r["metric"]): r["value"] for r in tables.read_run_log(spark, f"{root}/run_log").collect()}
     assert log["encode", "rows"] > log["encode", "test_rows"] > 0
     assert log["evaluate", "r2_log"] == row["r2_log"]
+    # the next run refits the same learner
+    assert artifacts.current_learner(root, spark) == ("tree", {"max_depth": 4})
+    again = retrain(raw, SMALL, root, version="202601020000")
+    assert again.metrics.first() == row and artifacts.current_version(root, spark) == "202601020000"
+
+
+def test_departure_defaults_to_today_plus_lead_time(spark):
+    requests = spark.createDataFrame([(None, 14), (dt.datetime(2024, 3, 1), 5)], "Date timestamp_ntz, days int")
+    rows = score.default_departure(requests, AIRFARES, "days", today=dt.date(2024, 2, 20)).collect()
+    assert [r["Date"] for r in rows] == [dt.datetime(2024, 3, 5), dt.datetime(2024, 3, 1)]
 
 
 def test_shared_folder_comes_from_the_session(spark):
