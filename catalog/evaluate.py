@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from catalog.base import SPEC, featured, rounded
 from catalog.explore import hist_sql
@@ -30,10 +30,11 @@ def predictions(spark, sf):
 
 def _out_of_fold(frame, column):
     """Each training row with the mean of its group over the other folds."""
-    sums = staged(frame.groupBy(column, "fold").agg(F.sum("label").alias("s"), F.count("label").alias("n")), "sums")
-    totals = sums.groupBy(column).agg(F.sum("s").alias("ts"), F.sum("n").alias("tn"))
-    means = staged(sums.join(totals, column).select(
-        column, "fold", ((F.col("ts") - F.col("s")) / (F.col("tn") - F.col("n"))).alias(evaluate.PREDICTED)), "means")
+    sums = frame.groupBy(column, "fold").agg(F.sum("label").alias("s"), F.count("label").alias("n"))
+    group = Window.partitionBy(column)
+    others = (F.sum("s").over(group) - F.col("s")) / (F.sum("n").over(group) - F.col("n"))
+    # one row per group and fold, written so that its size decides the join
+    means = staged(sums.select(column, "fold", others.alias(evaluate.PREDICTED)), "means")
     return frame.join(means, [column, "fold"]).select(
         F.lit(column).alias("model"), "fold", F.col("label").alias(evaluate.ACTUAL), evaluate.PREDICTED)
 
@@ -43,16 +44,21 @@ def _all_models(spark, sf):
     return reduce(DataFrame.unionByName, (_out_of_fold(frame, c) for c in _MODELS))
 
 
-def fold_scores(spark, sf):
-    return _all_models(spark, sf).groupBy("model", "fold").agg(
+def _fold_r2(rows):
+    return rows.groupBy("model", "fold").agg(
         r_squared(F.col(evaluate.ACTUAL), F.col(evaluate.PREDICTED)).alias("r2"))
 
 
+def fold_scores(spark, sf):
+    return _fold_r2(_all_models(spark, sf))
+
+
 def metrics(spark, sf):
     """One row per model: fold statistics and error metrics."""
-    cv = fold_scores(spark, sf).groupBy("model").agg(
+    rows = _all_models(spark, sf)
+    cv = _fold_r2(rows).groupBy("model").agg(
         F.bround(F.avg("r2"), 4).alias("cv_mean"), F.bround(F.stddev_pop("r2"), 4).alias("cv_std"))
-    return evaluate.eval_metrics(_all_models(spark, sf), ["model"]).join(cv, "model")
+    return evaluate.eval_metrics(rows, ["model"]).join(cv, "model")
 
 
 def cv_report(spark, sf):

@@ -13,6 +13,7 @@ from pricewright.plans.retrain_plan import retrain
 from pricewright.session import tuned
 from pricewright.sources.tables import scan_csv
 from pricewright.spec import AIRFARES
+from pricewright.staging import drop_stages
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -32,6 +33,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         again = retrain(raw, AIRFARES, args.out, learner=args.learner)
         logging.info("version %s: %s", again.version, again.metrics.first().asDict())
+    drop_stages(spark)
 
 
 if __name__ == "__main__":

@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
+_LOCAL: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -22,15 +23,25 @@ def shared_dir(spark: SparkSession) -> str:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_CONF} to a folder shared by all executors")
-    base = tempfile.mkdtemp(prefix="pricewright-")
-    spark.conf.set(_CONF, base)
-    return base
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="pricewright-")
+    return _LOCAL[app]
+
+
+def _app_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/pricewright/{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path no earlier stage has used."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/pricewright/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{_app_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete every stage table of this application; frames that read them are void after it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_app_dir(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:
