@@ -1,4 +1,4 @@
-"""spark-submit entry: ``python -m pricewright train|retrain --data in.csv --out folder``."""
+"""Command line: ``python -m pricewright train|retrain --data in.csv --out folder``."""
 
 from __future__ import annotations
 
