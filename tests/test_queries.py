@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+import catalog
 from tests.compare import canonical
 
 SF = "/root/testdata/sf0.001"
@@ -22,11 +23,11 @@ def duck():
 
 
 def test_only_training_runs_lack_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
+    assert set(catalog.queries()) - set(catalog.oracles()) == ROWS_ONLY
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("key", sorted(set(entry.queries()) - ROWS_ONLY))
+@pytest.mark.parametrize("key", sorted(set(catalog.queries()) - ROWS_ONLY))
 def test_query_agrees_with_sql(spark, duck, key):
     result = entry.queries()[key](spark, SF)
     plan = result._jdf.queryExecution().executedPlan().toString()
