@@ -6,18 +6,22 @@
 2. Equal sets fold into one representative (an aggregate, so a text copied a
    million times is one row per task).
 3. Representatives that share a band key are candidates. Each is compared with the
-   smallest one of its buckets that the packed signatures call closest: a star, not
-   all pairs. Confirmed links are contracted to components.
+   smallest member of its buckets that the packed signatures call closest: a star,
+   not all pairs. Confirmed links are contracted to components.
 4. Only buckets that still hold several components can hide a link. Their members
-   are paired across components if set sizes and packed signatures allow a link,
-   confirmed, and contracted again. Buckets with many members are first dealt
-   again by pairs (then triples, ...) of band keys, which linked documents share
-   too: two texts of similarity 0.8 share fewer than two of 32 bands with a
-   probability of about 1e-6, and at 0.85 of 4e-9.
+   meet in blocks of bounded size: members of the largest component with the
+   others, and the others among themselves. Inside a task bit counts of the packed
+   signatures find which could be linked; what leaves it is a spanning forest.
+   The families found so meet in blocks again, with their texts, and exact
+   overlaps decide; again a forest leaves the task.
+5. Buckets with more than ``WIDE`` members are first dealt again by pairs (then
+   triples) of band keys, which similar documents share too: at a similarity of
+   0.85 two documents share fewer than two of 32 bands with a probability of 2e-9
+   and none with 6e-11; at 0.8 with 1e-6 and 5e-8.
 
 The estimate corrects for chance collisions of b bits: with C the share of equal
-b-bit values, J = (C - 2^-b) / (1 - 2^-b). Candidates estimated ``SLACK`` (over
-five standard deviations) below the wanted similarity are not confirmed.
+b-bit values, J = (C - 2^-b) / (1 - 2^-b). Pairs estimated ``SLACK`` (over five
+standard deviations) below the wanted similarity are not looked at further.
 """
 
 from __future__ import annotations
@@ -34,8 +38,10 @@ from pricewright.staging import staged
 
 HASHES, BANDS, BITS = 128, 32, 4
 SLACK = 0.2
-WIDE = 64
-DEPTH = 4
+WIDE = 16384
+DEPTH = 3
+#: Members of a block while signatures are compared, and while texts are.
+SIGNED_BLOCK, TEXT_BLOCK = 1024, 512
 _RNG = np.random.Generator(np.random.PCG64(4))
 _FLIP = _RNG.integers(0, 2**32, HASHES, dtype=np.uint32)
 _TIMES = _RNG.integers(0, 2**32, HASHES, dtype=np.uint32) | np.uint32(1)
@@ -135,61 +141,162 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
         _confirm_batches(words, percent), schema)
 
 
-def _band_rows(owners: DataFrame) -> DataFrame:
-    return owners.select("id", F.explode("bands").alias("bucket"))
+def _mixed_units(rows: DataFrame) -> DataFrame:
+    """``unit, id, component`` rows of the units with several components, with their sizes and largest component."""
+    parts = rows.groupBy("unit", "component").agg(F.count("*").alias("n"))
+    units = parts.groupBy("unit").agg(
+        F.count("*").alias("classes"), F.max_by("component", F.struct("n", "component")).alias("main"),
+        F.max("n").alias("held"), F.sum("n").alias("size")).where("classes > 1")
+    return rows.join(units, "unit")
 
 
-def _mixed_buckets(rows: DataFrame, owner_component: DataFrame) -> DataFrame:
-    """Rows of the buckets that hold more than one component, with the bucket's size."""
-    known = rows.join(owner_component, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_ = known.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                        F.count("*").alias("size")).where("low != high")
-    return known.join(open_.select("bucket", "size"), "bucket")
+def _dealt(mixed: DataFrame, block: int) -> DataFrame:
+    """Blocks of mixed units that have to meet, as ``part``; ``bin`` puts small parts together.
+
+    Members outside the largest component meet everyone, members of the largest
+    component only those outside it: a lone outsider costs one pass over the unit.
+    """
+    outer = F.col("component") != F.col("main")
+    n_outer, n_main = F.ceil((F.col("size") - F.col("held")) / block), F.ceil(F.col("held") / block)
+    place = F.pmod(F.xxhash64("id"), F.when(outer, n_outer).otherwise(n_main)) + F.when(outer, 0).otherwise(n_outer)
+    last = F.when(outer, n_outer + n_main).otherwise(n_outer) - 1
+    bins = 1 + mixed.count() // block
+    return (mixed.select("unit", "id", "component", "size", place.alias("place"), last.alias("last"))
+            .select("*", F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("other")).where("other != place")
+            .select("id", "component", "size", F.xxhash64(
+                "unit", F.least("place", "other"), F.greatest("place", "other")).alias("part"))
+            .select("id", "component", "part", F.when(F.col("size") <= block, F.pmod("part", F.lit(bins)))
+                    .otherwise(F.col("part")).alias("bin")))
+
+
+def _forest(linked: np.ndarray) -> np.ndarray:
+    """The smallest row that each row of a symmetric link matrix reaches."""
+    label = np.arange(len(linked))
+    while True:
+        low = np.minimum(label, np.where(linked, label[None, :], len(label)).min(axis=1))
+        low = np.minimum(low, low[low])
+        if (low == label).all():
+            return label
+        label = low
+
+
+def _could_link(n: np.ndarray, planes: np.ndarray, component: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs of different components that set sizes and packed signatures allow to be linked."""
+    half, out = HASHES // 64, np.zeros((len(n), len(n)), dtype=bool)
+    floor = percent / 100 - SLACK
+    most = int(HASHES * (1 - (floor * (1 - 2.0 ** -BITS) + 2.0 ** -BITS)))
+    for at in range(0, len(n), 128):
+        rows = slice(at, at + 128)
+        differ = np.zeros((len(n[rows]), len(n)), dtype=np.int64)
+        for w in range(half):
+            any_bit = planes[rows, None, w] ^ planes[None, :, w]
+            for p in range(1, BITS):
+                any_bit |= planes[rows, None, p * half + w] ^ planes[None, :, p * half + w]
+            differ += np.bitwise_count(any_bit)
+        small, large = np.minimum(n[rows, None], n), np.maximum(n[rows, None], n)
+        out[rows] = (differ <= most) & (100 * small >= percent * large) & (component[rows, None] != component)
+    return out
+
+
+def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, as products of incidence blocks over the shingles found twice or more."""
+    sizes = [len(x) for x in sets]
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    shared = times[column] > 1
+    row, column = row[shared], (np.cumsum(times > 1) - 1)[column[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    width = 4096
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        low, high = np.searchsorted(column, (first, first + width))
+        has = np.zeros((len(sets), width), dtype=np.float32)
+        has[row[low:high], column[low:high] - first] = 1
+        out += has @ has.T
+    return out.astype(np.int64)
+
+
+def _parts(table: pa.Table):
+    """Row numbers of each part of a bin."""
+    part = table.column("part").to_numpy()
+    order = np.argsort(part, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(part[order])) + 1)
+
+
+def _edges_within(percent: int, words: int | None):
+    """Forests of possible links (``words`` is None), or of links confirmed on the texts."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids, n = table.column("id"), table.column("n").to_numpy()
+        planes = table.column("planes").combine_chunks()
+        planes = planes.flatten().to_numpy().view(np.uint64).reshape(-1, _PLANES)
+        _, component = np.unique(np.array(table.column("component").to_pylist(), dtype=object), return_inverse=True)
+        u, v = [], []
+        for rows in _parts(table):
+            linked = _could_link(n[rows], planes[rows], component[rows], percent)
+            if words is not None and linked.any():
+                used = np.flatnonzero(linked.any(axis=1))
+                rows, linked = rows[used], linked[np.ix_(used, used)]
+                texts = table.column("text").take(pa.array(rows)).combine_chunks()
+                both = _overlaps(list(W.shingles(W.words(texts, W.SPACED), words)))
+                linked &= 100 * both >= percent * (n[rows, None] + n[rows] - both)
+            root = _forest(linked)
+            moved = np.flatnonzero(root != np.arange(len(root)))
+            u.append(rows[moved])
+            v.append(rows[root[moved]])
+        take = lambda x: ids.take(pa.array(np.concatenate(x) if x else [], pa.int64()))
+        return pa.table({"u": take(u), "v": take(v)})
+    return run
+
+
+def _grouped_edges(parts: DataFrame, percent: int, words: int | None) -> DataFrame:
+    kind = parts.schema["id"].dataType
+    return parts.groupBy("bin").applyInArrow(_edges_within(percent, words), T.StructType(
+        [T.StructField("u", kind), T.StructField("v", kind)]))
 
 
 def links(owners: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """``node, component`` of the representatives that are linked with another one."""
-    wanted = percent / 100
     light = owners.select("id", "n", "planes")
     side = lambda end: light.select(*(F.col(c).alias(f"{c}_{end}") for c in ("id", "n", "planes")))
     fits = ((F.least("n_u", "n_v") * 100 >= F.greatest("n_u", "n_v") * percent)
-            & (estimate("planes_u", "planes_v") >= wanted - SLACK))
+            & (estimate("planes_u", "planes_v") >= percent / 100 - SLACK))
 
-    rows = _band_rows(owners)
-    heads = rows.groupBy("bucket").agg(F.min("id").alias("head"), F.count("*").alias("size")).where("size > 1")
-    shared = staged(rows.join(heads, "bucket").select("bucket", "id", "head"), "shared")
+    rows = owners.select("id", F.explode("bands").alias("unit"))
+    heads = rows.groupBy("unit").agg(F.min("id").alias("head"), F.count("*").alias("size")).where("size > 1")
+    shared = staged(rows.join(heads, "unit").select("unit", "id", "head"), "shared")
     star = shared.where("id != head").select(F.col("id").alias("id_u"), F.col("head").alias("id_v")).distinct()
     closest = (star.join(side("u"), "id_u").join(side("v"), "id_v").where(fits)
                .groupBy(F.col("id_u").alias("u"))
-               .agg(F.max_by("id_v", estimate("planes_u", "planes_v")).alias("v")))
-    edges = staged(_confirmed(closest, texts, words, percent), "links")
-    first = staged(components(edges), "components")
+               .agg(F.max_by("id_v", F.struct(estimate("planes_u", "planes_v"), "id_v")).alias("v")))
+    first = staged(components(_confirmed(closest, texts, words, percent)), "components")
     member = first.select(F.col("node").alias("id"), "component")
+    classed = lambda frame: frame.join(member, "id", "left").withColumn(
+        "component", F.coalesce("component", "id"))
 
-    open_ = staged(_mixed_buckets(shared.select("bucket", "id"), member), "open")
-    pairs = []
+    mixed = staged(_mixed_units(classed(shared.select("unit", "id"))), "mixed")
+    families = []
     for depth in range(DEPTH):
-        last = depth == DEPTH - 1
-        narrow = open_ if last else open_.where(F.col("size") <= WIDE)
-        a = narrow.join(side("u"), F.col("id") == F.col("id_u")).select(
-            "bucket", F.col("component").alias("component_u"), "id_u", "n_u", "planes_u")
-        b = narrow.join(side("v"), F.col("id") == F.col("id_v")).select(
-            "bucket", F.col("component").alias("component_v"), "id_v", "n_v", "planes_v")
-        pairs.append(a.join(b, "bucket").where((F.col("component_u") < F.col("component_v")) & fits)
-                     .select(F.col("id_u").alias("u"), F.col("id_v").alias("v")))
-        if last or open_.where(F.col("size") > WIDE).isEmpty():
+        wide = mixed.where(F.col("size") > WIDE)
+        last = depth == DEPTH - 1 or wide.isEmpty()
+        near = _dealt(mixed if last else mixed.where(F.col("size") <= WIDE), SIGNED_BLOCK)
+        families.append(_grouped_edges(near.join(light, "id"), percent, None))
+        if last:
             break
-        finer = (open_.where(F.col("size") > WIDE).select("bucket", "id").join(owners.select("id", "bands"), "id")
-                 .select("id", "bucket", F.explode("bands").alias("band")).where("band != bucket")
-                 .select("id", F.xxhash64("bucket", "band").alias("bucket")))
-        open_ = staged(_mixed_buckets(finer, member), "open")
-    found = pairs[0]
-    for more in pairs[1:]:
-        found = found.union(more)
-    found = staged(found.distinct(), "pairs")
-    if found.isEmpty():
+        finer = (wide.select("unit", "id").join(owners.select("id", "bands"), "id")
+                 .select("id", "unit", F.explode("bands").alias("band")).where("band != unit")
+                 .select("id", F.xxhash64("unit", "band").alias("unit")))
+        mixed = staged(_mixed_units(classed(finer)), "mixed")
+    possible = families[0]
+    for more in families[1:]:
+        possible = possible.union(more)
+    family = components(possible)
+    if family.isEmpty():
         return first
-    late = _confirmed(found, texts, words, percent)
+    kin = staged(_mixed_units(classed(family.select(F.col("component").alias("unit"), F.col("node").alias("id")))),
+                 "kin")
+    late = _grouped_edges(_dealt(kin, TEXT_BLOCK).join(light, "id").join(texts, "id"), percent, words)
     return components(first.select(F.col("node").alias("u"), F.col("component").alias("v")).union(late))
 
 
