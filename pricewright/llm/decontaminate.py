@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from pricewright.llm import words as W
+from pricewright.llm.ship import shipped
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
@@ -113,7 +114,7 @@ def scanned(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", te
             window: int = WINDOW, item_col: str = "item_id", item_text: str = "text",
             block_words: int = BLOCK_WORDS) -> DataFrame:
     """``__id``, number of words, hit words, packed mask of hit words, and items that hit (null: none)."""
-    spark = docs.sparkSession
+    spark = shipped(docs.sparkSession)
     frame = docs.select(
         F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").cast("binary").alias("__bytes"),
         F.lit(0).cast("long").alias("__n"), F.lit(0).cast("long").alias("__hit"),
@@ -203,7 +204,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text
     or more of the words are hit goes as a whole. Untouched documents, null and
     empty texts stay as they are.
     """
-    held = [docs.sparkSession.sparkContext.broadcast(b)
+    held = [shipped(docs.sparkSession).sparkContext.broadcast(b)
             for b in blocks(benchmark, window, item_col, item_text, block_words)]
     names = docs.columns
     frame = docs.withColumn(text_col, F.col(f"`{text_col}`").cast("binary"))

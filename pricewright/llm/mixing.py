@@ -18,9 +18,9 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from pricewright.llm.ship import shipped
 from pricewright.staging import staged
 
 WEIGHTS = (3, 1, 2)
@@ -100,7 +100,7 @@ def landing(chance: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def _decide(level: int, seed: int):
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key, rows):
         rows = rows.sort_values(["place", "size"], kind="stable").reset_index(drop=True)
         last = bool(rows["last"].iloc[0])
         rng = np.random.default_rng([seed, level, int(key[0]), int(key[1])])
@@ -125,6 +125,7 @@ def mixture(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     take. Rows equal in id, source and size are decided together and each keeps its row;
     null ids are allowed. An empty table gives no rows. Other columns are not looked at.
     """
+    shipped(docs.sparkSession)
     sizes = staged(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"),
                                n_words(text_col).alias("size"))
                    .groupBy("id", "source", "size").agg(F.count("*").alias("rows")), "sizes")

@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pricewright.llm import words as W
 from pricewright.llm.components import components
+from pricewright.llm.ship import shipped
 from pricewright.staging import staged
 
 HASHES, BANDS, BITS = 128, 32, 4
@@ -93,6 +94,7 @@ def _signature_batches(words: int):
 
 def signatures(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``id, n, digest, bands, planes``."""
+    shipped(docs.sparkSession)
     kind = docs.schema[id_col].dataType
     longs = T.ArrayType(T.LongType())
     schema = T.StructType([T.StructField("id", kind), T.StructField("n", T.LongType()),

@@ -53,10 +53,10 @@ def _letters_of(text: str, pattern: str) -> Column:
     return F.length(F.regexp_replace(text, f"[^{pattern}]+", "")).cast("long")
 
 
-def measured(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``__row`` (all columns of ``docs`` as one struct) and the metrics of the whole text."""
+def measured(docs: DataFrame, text_col: str = "text", carried: list[str] | None = None) -> DataFrame:
+    """``__row`` (the ``carried`` columns, all by default, as one struct) and the metrics of the whole text."""
     stops = sorted({w for line in STOP_WORDS.values() for w in line.split()})
-    base = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"),
+    base = docs.select(F.struct(*(F.col(f"`{c}`") for c in carried or docs.columns)).alias("__row"),
                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__text"))
     split = base.select("__row", "__text", F.array_remove(F.split("__text", r"[ \t\n\x0B\f\r]+"), "").alias("__words"),
                         F.filter(F.split("__text", "\n"), lambda line: line.rlike(r"[^ \t\n\x0B\f\r]")).alias("__lines"))
@@ -109,7 +109,7 @@ def assessed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     judged alone: repeated rows and ties do not matter, a null id is carried along,
     an empty table gives no rows, other columns are not looked at.
     """
-    return measured(docs, text_col).select(
+    return measured(docs, text_col, [id_col]).select(
         F.col("__row")[id_col].alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed().alias("base_failed"), (~base_failed() & compiled(rules)).alias("kept"))
 

@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from pricewright.llm import decontaminate, near_dup
-from pricewright.llm.ship import shipped
+from pricewright.llm import chat, decontaminate, mixing, near_dup, quality_rules, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return shipped(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# The rules the URL query is judged by.
+URL_RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
+             ("net/es/", "block"), ("net/fr/", "block"))
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    return url_filter.judged(table(spark, sf_dir, "pages"), rules)
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,9 +30,42 @@ def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.assessed(table(spark, sf_dir, "documents"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+def as_replies(turns: DataFrame) -> DataFrame:
+    """Rows by turn as reply trees of one path: each message answers the one before it."""
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text")).cast("long")
+    return turns.select("conv_id", "role", "text", place.alias("node")).withColumn(
+        "parent", F.when(F.col("node") > 1, F.col("node") - 1)).withColumn("score", F.length("text"))
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tricky = "\\### Assistant: </turn> ok"
+    own = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)],
+                                "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(own)
+    read = chat.read_back(chat.formatted(as_replies(turns)))
+    line = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    learned = F.array_join("learned", "")
+    return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"),
+                       F.sha2(line, 256).alias("turns_sha256"), F.length(learned).cast("long").alias("loss_chars"),
+                       F.sha2(learned, 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 QUERIES = {
+    "op2_url_filter": op2_url_filter,
     "op3_decontaminate": op3_decontaminate,
     "op4_near_dup": op4_near_dup,
+    "op5_quality_rules": op5_quality_rules,
+    "op7_mixing": op7_mixing,
+    "op9_chat": op9_chat,
 }
 
 ORACLES: dict[str, str] = {}
