@@ -9,10 +9,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pricewright.llm import decontaminate, near_dup
+from pricewright.llm import decontaminate, language_id, mixing, near_dup, quality_rules
 from pricewright.staging import staged
 
 
+def passing_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality_rules.passing(docs)
+
+
+def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or without a language that a third of their words agree on, go."""
+    return language_id.in_known_language(docs, least=0.35)
+
+
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five-word shingles, similarity 0.8) the smallest doc_id stays."""
     return near_dup.keep_one(docs)
@@ -24,9 +34,18 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontaminate.remove_spans(docs, benchmark).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, with size, target and the words taken of each."""
+    taken = mixing.mixture(docs).where("taken > 0").distinct()
+    return docs.join(taken, "doc_id")
+
+
 STAGES = [
+    ("quality_rules", passing_rules),
+    ("language_id", in_a_language),
     ("near_dup", one_per_group),
     ("decontaminate", without_benchmark),
+    ("mixing", mixed),
 ]
 
 #: SQL can express neither the trained models nor the sampling; tests compare with brute force.

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from pricewright.llm import chat, decontaminate, mixing, near_dup, quality_rules, url_filter
+from pricewright.llm import (
+    chat, decontaminate, html_text, language_id, mil_quality, mixing, near_dup, quality_rules, url_filter,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(table(spark, sf_dir, "documents"))
+
+
 # The rules the URL query is judged by.
 URL_RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
              ("net/es/", "block"), ("net/fr/", "block"))
@@ -34,6 +40,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assessed(table(spark, sf_dir, "documents"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
@@ -59,13 +69,20 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op10_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mil_quality.assessed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_url_filter": op2_url_filter,
     "op3_decontaminate": op3_decontaminate,
     "op4_near_dup": op4_near_dup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_html_text": op6_html_text,
     "op7_mixing": op7_mixing,
     "op9_chat": op9_chat,
+    "op10_mil_quality": op10_mil_quality,
 }
 
 ORACLES: dict[str, str] = {}

@@ -135,6 +135,16 @@ def words(column: pa.Array, by: Rule) -> Words:
     return Words(data, *joined, np.searchsorted(joined[0], bounds))
 
 
+def slices(column: pa.Array, limit: int = 1 << 23):
+    """Row ranges of a binary column of about ``limit`` bytes, one row at least."""
+    _, bounds = flat(column)
+    low, n = 0, len(bounds) - 1
+    while low < n:
+        high = max(low + 1, int(np.searchsorted(bounds, bounds[low] + limit, "right")) - 1)
+        yield low, high
+        low = high
+
+
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hash of each run of ``size`` words, by its first word; runs may cross texts."""
     n = len(hashes) - size + 1
