@@ -116,4 +116,7 @@ def assessed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
 def passing(docs: DataFrame, *, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents that pass, with all their columns and nothing else."""
-    return measured(docs, text_col).where(~base_failed() & compiled(rules)).select("__row.*")
+    # an exploded array instead of a filter: Catalyst would push a filter below the
+    # projections and evaluate their arrays anew for every element
+    verdict = ~base_failed() & compiled(rules)
+    return measured(docs, text_col).select(F.explode(F.when(verdict, F.array("__row"))).alias("__row")).select("__row.*")
