@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from pricewright.llm import (
-    chat, decontaminate, html_text, language_id, mil_quality, mixing, near_dup, quality_rules, url_filter,
+    chat, decontaminate, html_text, language_id, mil_quality, mixing, near_dup, quality_rules,
+    token_counts, url_filter,
 )
 
 
@@ -48,6 +49,22 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def edits_of(text: str) -> Column:
+    """Three edits of a document at places its text decides: an insertion, a deletion, a replacement."""
+    at = lambda k: F.pmod(F.xxhash64(text, F.lit(k)), F.length(text) + 1)
+    edit = lambda k, size, new: F.struct(
+        at(k).alias("start"), (at(k) + size).alias("end"), F.lit(new).alias("replacement"))
+    return F.when(F.length(text) > 0, F.array(edit(0, 0, " revised,"), edit(1, 25, ""), edit(2, 10, "New text ")))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.counted(table(spark, sf_dir, "documents"))
+    new = token_counts.recounted(counts, edits_of("text"))
+    return new.select("doc_id", "n_before", "n_tokens", F.length("text").cast("long").alias("n_chars"), "n_encoded",
+                      F.size(F.filter("tree_chars", lambda x, k: (x > 0) & (k >= F.size("tree_chars") / 2)))
+                      .cast("long").alias("n_leaves"))
+
+
 def as_replies(turns: DataFrame) -> DataFrame:
     """Rows by turn as reply trees of one path: each message answers the one before it."""
     place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text")).cast("long")
@@ -81,6 +98,7 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_html_text": op6_html_text,
     "op7_mixing": op7_mixing,
+    "op8_token_counts": op8_token_counts,
     "op9_chat": op9_chat,
     "op10_mil_quality": op10_mil_quality,
 }
