@@ -8,8 +8,8 @@ one direction in which both totals stay as they are, and a random step along it
 decides at least one of them.
 
 The flight runs in blocks of a source, so a hot source is many groups. Each block
-leaves at most two undecided documents; these meet in the blocks of the next
-level, whose number shrinks by ``BLOCK / 2`` each time. The last few of a source
+leaves at most ``LANDING`` undecided documents; these meet in the blocks of the next
+level, whose number shrinks by ``BLOCK / LANDING`` each time. The last few of a source
 are the landing: of all their subsets the one nearest to both totals is taken.
 """
 
@@ -18,6 +18,8 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pricewright.llm.ship import shipped
@@ -101,13 +103,14 @@ def landing(chance: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def _decide(level: int, seed: int):
     def run(key, rows):
-        rows = rows.sort_values(["place", "size"], kind="stable").reset_index(drop=True)
-        last = bool(rows["last"].iloc[0])
-        rng = np.random.default_rng([seed, level, int(key[0]), int(key[1])])
-        chance, size = rows["chance"].to_numpy(), (rows["size"] * rows["rows"]).to_numpy()
-        moved = flight(chance, size, LANDING if last else 2, rng)
-        rows["chance"] = landing(moved, size) if last else moved
-        return rows.drop(columns=["block", "last"])
+        rows = rows.combine_chunks().sort_by([("place", "ascending"), ("size", "ascending")])
+        last = rows.column("last")[0].as_py()
+        rng = np.random.default_rng([seed, level, *(k.as_py() for k in key)])
+        chance, size = rows.column("chance").to_numpy(), pc.multiply(rows.column("size"), rows.column("rows")).to_numpy()
+        moved = flight(chance, size, LANDING, rng)
+        moved = landing(moved, size) if last else moved
+        rows = rows.drop_columns(["block", "last"])
+        return rows.set_column(rows.schema.get_field_index("chance"), "chance", pa.array(moved, pa.float64()))
     return run
 
 
@@ -125,6 +128,16 @@ def mixture(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     take. Rows equal in id, source and size are decided together and each keeps its row;
     null ids are allowed. An empty table gives no rows. Other columns are not looked at.
     """
+    out = _decisions(docs, id_col, text_col, source_col, weights, share, ceiling, block, seed)
+    return out.select(F.col("id").alias(id_col), "size", "source_size", "target", "taken",
+                      F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))).alias("__row")).drop("__row")
+
+
+def _decisions(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], share: float,
+               ceiling: float, block: int, seed: int) -> DataFrame:
+    """``id, source, size, rows, source_size, target, taken``, one row per distinct id, source and size."""
+    if block < 2 * LANDING:
+        raise ValueError(f"block must be {2 * LANDING} or more")
     shipped(docs.sparkSession)
     sizes = staged(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"),
                                n_words(text_col).alias("size"))
@@ -133,7 +146,7 @@ def mixture(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                           weights, share, ceiling), "targets")
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     known = sizes.join(goal, sizes["source"].eqNullSafe(goal["source"])).select(
-        "id", "size", "rows", "source_no", "source_size", "target", copies.alias("copies"))
+        "id", sizes["source"], "size", "rows", "source_no", "source_size", "target", copies.alias("copies"))
     units = known.select("*", F.floor("copies").alias("whole"),
                          F.when(F.col("size") > 0, F.col("copies") - F.floor("copies")).otherwise(0.0).alias("chance"),
                          F.xxhash64("id", "size", F.lit(seed)).alias("place")).drop("copies")
@@ -147,13 +160,27 @@ def mixture(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         dealt = open_.join(counts, "source_no").withColumn("blocks", F.ceil(F.col("n") / block)).select(
             *open_.columns, F.pmod(F.xxhash64("place", F.lit(level)), F.col("blocks")).alias("block"),
             (F.col("blocks") == 1).alias("last"))
-        open_ = staged(dealt.groupBy("source_no", "block").applyInPandas(
+        open_ = staged(dealt.groupBy("source_no", "block").applyInArrow(
             _decide(level, seed), open_.schema), "flight")
         level += 1
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
     taken = (F.col("whole") + F.round("chance").cast("long")) * F.col("size")
-    return out.select(F.col("id").alias(id_col), "size", F.col("source_size").cast("long").alias("source_size"),
-                      "target", taken.cast("long").alias("taken"),
-                      F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))).alias("__row")).drop("__row")
+    return out.select("id", "source", "size", "rows", F.col("source_size").cast("long").alias("source_size"),
+                      "target", taken.cast("long").alias("taken"))
+
+
+def mixed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, ceiling: float = CEILING,
+          block: int = BLOCK, seed: int = SEED) -> DataFrame:
+    """The documents that the mix takes, with their columns and ``size, source_size, target, taken``.
+
+    Columns of these names are replaced.
+    """
+    chosen = staged(_decisions(docs, id_col, text_col, source_col, weights, share, ceiling, block, seed).where(
+        "taken > 0").select(F.col("id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"),
+                            "source_size", "target", "taken"), "chosen")
+    own = docs.drop("source_size", "target", "taken").withColumn("size", n_words(text_col))
+    return own.join(chosen, own[id_col].eqNullSafe(chosen["__id"]) & own[source_col].eqNullSafe(chosen["__source"])
+                    & (own["size"] == chosen["__size"])).drop("__id", "__source", "__size")
