@@ -36,8 +36,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with size, target and the words taken of each."""
-    taken = mixing.mixture(docs).where("taken > 0").distinct()
-    return docs.join(taken, "doc_id")
+    return mixing.mixed(docs)
 
 
 STAGES = [
