@@ -177,6 +177,8 @@ def trained(texts: list[str], languages: list[str], rounds: int = ROUNDS, seed:
     """Maximum likelihood of word labels by full-batch gradient steps with per-weight rates."""
     labels = sorted(set(languages))
     n_labels = len(labels)
+    if not labels:
+        return Model([], np.empty(0, np.uint64), np.empty(0, np.int64), np.zeros((BUCKETS, 0)), np.zeros((0, 0)))
     found = W.words(pa.array([t.encode() for t in texts], pa.binary()), W.LETTERS)
     data, starts, ends, which = _distinct(found)
     of_doc = np.array([labels.index(x) for x in languages], dtype=np.int64)

@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage and the SQL they must agree with."""
+"""The registered queries of this subpackage; the SQL some must agree with is in ``oracles``."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pricewright.llm import (
     chat, decontaminate, html_text, language_id, mil_quality, mixing, near_dup, quality_rules,
     token_counts, url_filter,
 )
+from pricewright.llm.oracles import ORACLES  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -102,5 +103,3 @@ QUERIES = {
     "op9_chat": op9_chat,
     "op10_mil_quality": op10_mil_quality,
 }
-
-ORACLES: dict[str, str] = {}
