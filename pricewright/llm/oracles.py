@@ -35,12 +35,12 @@ OP4 = f"""
 WITH RECURSIVE doc AS (SELECT doc_id, regexp_extract_all({_FOLD}, {_SPACED}) AS w FROM documents),
 shingle AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM doc),
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM doc),
 size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
-pair AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS both
+pair AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS shared
          FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
 link AS (SELECT u, v FROM pair JOIN size a ON a.doc_id = u JOIN size b ON b.doc_id = v
-         WHERE 100 * both >= 85 * (a.n + b.n - both)),
+         WHERE 100 * shared >= 85 * (a.n + b.n - shared)),
 edge AS (SELECT u, v FROM link UNION ALL SELECT v, u FROM link),
 reach AS (SELECT doc_id, doc_id AS other FROM documents
           UNION SELECT reach.doc_id, edge.v FROM reach JOIN edge ON edge.u = reach.other)
@@ -51,7 +51,7 @@ FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) LEFT
 OP5 = f"""
 WITH doc AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {_SPACED}) AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, {_SPACED})) AS lines
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, {_SPACED})) AS lines
   FROM documents),
 win AS (SELECT doc_id, i, list_slice(w, i, i + 7) AS key
         FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM doc)),
@@ -64,8 +64,8 @@ base AS (
          CAST(length(regexp_replace(t, '[^!?]+', '', 'g')) AS BIGINT) AS n_marks,
          CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words,
-         len(list_filter(w, x -> lower(x) IN ({_STOPS}))) AS n_stop_words,
-         len(list_filter(range(2, len(w) + 1), i -> w[i] = w[i - 1])) AS n_echoes
+         len(list_filter(w, lambda x: lower(x) IN ({_STOPS}))) AS n_stop_words,
+         len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_echoes
   FROM doc LEFT JOIN covered USING (doc_id)),
 failed AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
                   greatest(n_words, 1) AS words FROM base)
