@@ -80,10 +80,13 @@ def measured(docs: DataFrame, text_col: str = "text", carried: list[str] | None
     covered = F.aggregate(
         F.transform("__at", lambda x, i: F.least(F.lit(WINDOW), F.coalesce(F.get("__at", i + 1) - x, F.lit(WINDOW)))),
         F.lit(0).cast("long"), lambda total, x: total + x)
-    return twice.select(
-        "__row", F.col("__n").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines",
+    metrics = F.struct(
+        F.col("__n").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines",
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
         "n_marks", "n_lines", "n_stop_words", "n_echoes")
+    # exploding an array of one keeps filters above it: pushed below the projections
+    # they would evaluate the arrays anew for every element
+    return twice.select("__row", F.explode(F.array(metrics)).alias("__metrics")).select("__row", "__metrics.*")
 
 
 def base_failed() -> Column:
@@ -116,7 +119,4 @@ def assessed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
 def passing(docs: DataFrame, *, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents that pass, with all their columns and nothing else."""
-    # an exploded array instead of a filter: Catalyst would push a filter below the
-    # projections and evaluate their arrays anew for every element
-    verdict = ~base_failed() & compiled(rules)
-    return measured(docs, text_col).select(F.explode(F.when(verdict, F.array("__row"))).alias("__row")).select("__row.*")
+    return measured(docs, text_col).where(~base_failed() & compiled(rules)).select("__row.*")

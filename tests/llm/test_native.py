@@ -42,6 +42,7 @@ def test_quality_values_and_verdicts(spark):
 def test_quality_rules_filter_keeps_columns(spark):
     kept = no_python(R.passing(messy(spark)))
     assert kept.columns == messy(spark).columns
+    assert R.assessed(messy(spark)).where("kept").count() == kept.count()
     assert sorted(r["doc_id"] for r in R.passing(messy(spark), rules=()).collect()) == [1, 7, 7]
     assert R.assessed(messy(spark)).count() == 11 and R.passing(empty(spark)).count() == 0
 
