@@ -52,17 +52,22 @@ def _jumps(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         known.withColumn("real", F.lit(True)), ["tree", "up"], "left").select(
         "tree", "node", F.when(F.col("real"), F.col("up")).alias("up"), F.lit(1).cast("long").alias("depth"),
         F.col("score").alias("total")), "jump")
-    levels, rounds = [], max(1, step.count()).bit_length()
-    for _ in range(rounds):
-        if step.where("up IS NOT NULL").isEmpty():
+    # a message leaves the rounds when it has found its root, so short trees cost few of them
+    placed, levels = step.where("up IS NULL"), []
+    step = step.where("up IS NOT NULL")
+    for _ in range(max(1, step.count()).bit_length() + 1):
+        if step.isEmpty():
             break
-        levels.append(step.where("up IS NOT NULL").select("tree", "node", "up"))
-        above = step.select("tree", F.col("node").alias("up"), F.col("up").alias("next"),
-                            F.col("depth").alias("more"), F.col("total").alias("rest"))
-        step = staged(step.join(above, ["tree", "up"], "left").select(
-            "tree", "node", F.col("next").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-            (F.col("total") + F.coalesce("rest", F.lit(0.0))).alias("total")), "jump")
-    return step.where("up IS NULL").drop("up"), levels
+        levels.append(step.select("tree", "node", "up"))
+        above = placed.union(step).select(
+            "tree", F.col("node").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"),
+            F.col("total").alias("rest"))
+        moved = staged(step.join(above, ["tree", "up"]).select(
+            "tree", "node", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"),
+            (F.col("total") + F.col("rest")).alias("total")), "jump")
+        placed = placed.union(moved.where("up IS NULL"))
+        step = moved.where("up IS NOT NULL")
+    return placed.drop("up"), levels
 
 
 def paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
