@@ -20,7 +20,7 @@ def dtype_report(spark, sf):
 
 def validate_schema(spark, sf):
     partial = tickets(spark, sf).drop("Season", "Booking_Source")
-    return clean.missing_columns(partial, SPEC)
+    return clean.contract_report(partial, SPEC)
 
 
 def normalise_labels(spark, sf):
@@ -119,8 +119,10 @@ _CLEAN_COLUMNS = _DATED
 
 ORACLES = {
     "rename_columns": query("dirty", "SELECT Stop_Raw, Season, count(*) AS rows FROM dirty GROUP BY ALL"),
-    "validate_schema": """SELECT * FROM (VALUES ('Season', 'travel season'), ('Booking_Source', 'sales channel'))
-                          t("column", description)""",
+    "validate_schema": query("fares", " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", '{text}' AS description, {c not in ('Season', 'Booking_Source')} AS present,
+        {'count(NULL)' if c in ('Season', 'Booking_Source') else f'count({c})'} AS rows FROM fares"""
+        for c, (_, text) in SPEC.contract.items())),
     "coerce_types": query("typed", f"SELECT {_DATED} FROM typed"),
     "dtype_report": query("typed", _dtype_report()),
     "range_filter": query("in_range", f"SELECT {_DATED} FROM in_range"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from catalog.base import SPEC, featured, rounded
 from catalog.explore import hist_sql
+from fixtures import views
 from fixtures.sql import query, r
 from pricewright.functions.numeric import r_squared
 from pricewright.operators import evaluate
@@ -40,8 +41,10 @@ def _out_of_fold(frame, column):
 
 
 def _all_models(spark, sf):
+    """Written once: the score tables above it are read several times."""
     frame = featured(spark, sf).filter("NOT is_test").select(*_MODELS, "fold", "label")
-    return reduce(DataFrame.unionByName, (_out_of_fold(frame, c) for c in _MODELS))
+    return views._once(spark, sf, "all_models", lambda: reduce(
+        DataFrame.unionByName, (_out_of_fold(frame, c) for c in _MODELS)))
 
 
 def _fold_r2(rows):

@@ -130,8 +130,8 @@ ORACLES = {
         CAST(0.0 AS DOUBLE) AS Constant_z FROM features, (SELECT avg(Duration_hrs) AS md, stddev_pop(Duration_hrs) AS sd,
         avg(Month) AS mm, stddev_pop(Month) AS sm FROM features WHERE NOT is_test)"""),
     "one_hot": query("features", """SELECT rid, 'Class_' || seen AS feature,
-      CAST(seen = CASE Class WHEN 'First Class' THEN 'First' ELSE Class END AS INTEGER) AS value
-      FROM features, (SELECT DISTINCT Class AS seen FROM features WHERE NOT is_test)"""),
+      CAST(1 AS INTEGER) AS value FROM features JOIN (SELECT DISTINCT Class AS seen FROM features WHERE NOT is_test)
+      ON seen = CASE Class WHEN 'First Class' THEN 'First' ELSE Class END"""),
     "preprocess": query("features", f"""SELECT is_test, pos, name, {r('mean', 6)} AS mean
       FROM ({_encoded_means()}) JOIN ({_names()}) USING (name)"""),
     "feature_names": query("features", _names()),

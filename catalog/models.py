@@ -25,6 +25,7 @@ from pricewright.staging import new_path, staged
 CABIN = replace(SPEC, categorical=("Class",), numeric=())
 AIRLINE = replace(SPEC, categorical=("Airline",), numeric=())
 DURATION = replace(SPEC, categorical=(), numeric=("Duration_hrs",))
+MONTH = replace(SPEC, categorical=(), numeric=("Month",))
 TWO = replace(SPEC, categorical=(), numeric=("Duration_hrs", "Weekday", "Constant"))
 _ALPHAS = models.GRIDS["ridge"]["alpha"]
 
@@ -33,7 +34,7 @@ def design(spark, sf, spec):
     """(encoded rows with label, split and folds; fitted preprocessor)."""
     frame = featured(spark, sf).withColumn("Constant", F.lit(7.0))
     model = features.preprocess(frame.filter("NOT is_test"), spec)
-    kept = ("rid", "label", "is_test", "fold", "Class", "Airline", "Duration_hrs")
+    kept = ("rid", "label", "is_test", "fold", "Class", "Airline", "Duration_hrs", "Month")
     return staged(features.encode(frame, model, *kept), "design"), model
 
 
@@ -172,16 +173,14 @@ def retrain_flow(spark, sf):
         .withColumn("residual_std", done.interval.agg(F.max("residual_std").alias("x")).scalar())
 
 
-_STUMP = {"max_depth": 2}
-
 QUERIES = {
     "fit_linear": _by_group("linear", CABIN, "Class"),
     "fit_ridge": _fit_line("ridge", {"alpha": 1000.0}),
     "fit_lasso": _fit_line("lasso", {"alpha": 0.05}),
-    "fit_tree": _by_group("tree", CABIN, "Class", _STUMP),
-    "fit_forest": _by_group("forest", CABIN, "Class", {**_STUMP, "n_estimators": 5, "bootstrap": False}),
-    "fit_gbt_depth": _by_group("gbt_depth", CABIN, "Class", {**_STUMP, "n_estimators": 3}),
-    "fit_gbt_leaf": _by_group("gbt_leaf", CABIN, "Class", {"num_leaves": 4, "n_estimators": 3}),
+    "fit_tree": _by_group("tree", MONTH, "Month", {"max_depth": 1}),
+    "fit_forest": _by_group("forest", MONTH, "Month", {"max_depth": 2, "n_estimators": 5, "bootstrap": False}),
+    "fit_gbt_depth": _by_group("gbt_depth", MONTH, "Month", {"max_depth": 1, "n_estimators": 2, "learning_rate": 0.3}),
+    "fit_gbt_leaf": _by_group("gbt_leaf", MONTH, "Month", {"num_leaves": 2, "n_estimators": 3, "learning_rate": 0.5}),
     "grid_search": grid_search,
     "random_search": random_search,
     "train_val_gap": train_val_gap,
@@ -209,6 +208,42 @@ _S = """SELECT count(*) AS n, avg(y) AS my, avg(z) AS mz, covar_pop(y, z) * coun
   var_pop(z) * count(*) AS szz, var_pop(y) * count(*) AS syy FROM t"""
 
 
+def _stump(name: str, rows: str) -> str:
+    """Best split of (side, x, y) rows per side by squared error: ``name`` has side, cut and the means."""
+    return f"""{name}_g AS (SELECT side, x, count(*) AS n, sum(y) AS s FROM {rows} GROUP BY side, x),
+      {name}_c AS (SELECT a.side, a.x AS cut, sum(b.n) FILTER (b.x <= a.x) AS nl, sum(b.s) FILTER (b.x <= a.x) AS sl,
+          sum(b.n) FILTER (b.x > a.x) AS nr, sum(b.s) FILTER (b.x > a.x) AS sr
+        FROM {name}_g a JOIN {name}_g b ON a.side = b.side GROUP BY a.side, a.x),
+      {name} AS (SELECT side, cut, sl / nl AS l, sr / nr AS h FROM {name}_c WHERE nr > 0
+        QUALIFY row_number() OVER (PARTITION BY side ORDER BY sl * sl / nl + sr * sr / nr DESC) = 1)"""
+
+
+_MONTHS = """WITH t AS (SELECT 0 AS side, Month AS x, label AS y FROM features WHERE NOT is_test),
+  m AS (SELECT DISTINCT Month FROM features)"""
+_FIRST = f"{_MONTHS}, {_stump('s0', 't')}"
+
+
+def _month_rows(value: str, tables: str) -> str:
+    return f"SELECT Month, {r(value)} AS prediction, {r(value)} AS same FROM {tables}"
+
+
+def _boosted(rounds: int, rate: float) -> str:
+    """Stumps on twice the residuals, the first of weight one, as squared loss has it."""
+    text, tables, before, now = _FIRST, "m, s0", "", "CASE WHEN {x} <= s0.cut THEN s0.l ELSE s0.h END"
+    for k in range(1, rounds):
+        text += (f", r{k} AS (SELECT 0 AS side, x, 2 * (y - ({now.format(x='x')})) AS y "
+                 f"FROM t, {', '.join(f's{j}' for j in range(k))}), {_stump(f's{k}', f'r{k}')}")
+        tables += f", s{k}"
+        now += f" + {rate} * CASE WHEN {{x}} <= s{k}.cut THEN s{k}.l ELSE s{k}.h END"
+    return f"{text} {_month_rows(now.format(x='Month'), tables)}"
+
+
+_DEPTH_TWO = f"""{_FIRST}, u AS (SELECT CAST(x > cut AS INTEGER) AS side, x, y FROM t, s0), {_stump('s1', 'u')}
+  {_month_rows('CASE WHEN s1.cut IS NULL THEN (CASE WHEN Month <= s0.cut THEN s0.l ELSE s0.h END) '
+               'WHEN Month <= s1.cut THEN s1.l ELSE s1.h END',
+               'm JOIN s0 ON true LEFT JOIN s1 ON s1.side = CAST(Month > s0.cut AS INTEGER)')}"""
+
+
 def _grid() -> str:
     """Ridge on one numeric for every penalty and fold, from sums per side."""
     alphas = ", ".join(f"({i}, {a!r})" for i, a in enumerate(_ALPHAS))
@@ -279,10 +314,11 @@ ORACLES = {
     "fit_lasso": query("features", f"""SELECT * FROM ({_Z}
       SELECT {r('w', 6)} AS slope, {r('my - w * mz', 6)} AS intercept
       FROM (SELECT my, mz, sign(syz) * greatest(abs(syz) / n - 0.05, 0) / (szz / n) AS w FROM ({_S})))"""),
-    "fit_tree": query("features", _TRAIN_MEANS),
-    "fit_forest": query("features", _TRAIN_MEANS),
-    "fit_gbt_depth": query("features", _TRAIN_MEANS),
-    "fit_gbt_leaf": query("features", _TRAIN_MEANS),
+    "fit_tree": query("features", f"""SELECT * FROM ({_FIRST}
+      {_month_rows('CASE WHEN Month <= cut THEN l ELSE h END', 'm, s0')})"""),
+    "fit_forest": query("features", f"SELECT * FROM ({_DEPTH_TWO})"),
+    "fit_gbt_depth": query("features", f"SELECT * FROM ({_boosted(2, 0.3)})"),
+    "fit_gbt_leaf": query("features", f"SELECT * FROM ({_boosted(3, 0.5)})"),
     "grid_search": query("features", f"SELECT * FROM ({_grid()})"),
     "random_search": query("features", f"SELECT * FROM ({_random()})"),
     "train_val_gap": query("features", f"""SELECT * FROM ({_FOLD_R2}

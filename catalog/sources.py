@@ -64,9 +64,9 @@ _AUDIT = """
 
 ORACLES = {
     "scan_csv": query("typed", f"SELECT {_DATED} FROM typed"),
-    "header_gate": "SELECT * FROM (VALUES "
-                   + ", ".join(f"('{c}', {'false' if c == 'Gate' else 'true'})"
-                               for c in SPEC.raw_required + ("Gate",)) + ') t("column", present)',
+    "header_gate": query("dirty", " UNION ALL ".join(
+        [f"""SELECT '{c}' AS "column", true AS present, count({SPEC.rename.get(c, c)}) AS rows FROM dirty"""
+         for c in SPEC.raw_required] + ["SELECT 'Gate', false, 0"])),
     "min_fare_gate": query("typed", "SELECT count(*) AS valid_rows FROM typed WHERE Base_Fare >= 500"),
     "write_reports": query("in_range", _AUDIT),
     "stage_handoff": query("fares", "SELECT rid, Season, Duration_hrs, Total_Fare FROM fares"),

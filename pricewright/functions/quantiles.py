@@ -1,9 +1,12 @@
-"""Exact grouped quantiles that never hold a group in one task.
-
-Spark's ``percentile`` keeps a map of every distinct value of a group in a
-single buffer. Here the first pass brackets each wanted rank with a bounded
-sketch; the second pass counts everything between the brackets as one number
-and only orders the values inside them.
+"""Exact grouped quantiles that never order a group in one task.
+
+A bounded sketch brackets each wanted rank. One pass over the values then counts
+every gap between brackets as one row and every value inside a bracket by itself.
+While a rank still has more than ``SMALL`` of these rows to choose from, its interval
+is cut into ``CUTS`` ranges and only the one that holds the rank, known from the counts
+per range, is kept; the few rows left are ordered. A rank that falls into a gap, which
+the sketch's error makes possible, gets the gap as its bracket and is counted again. All
+sizes take this path.
 """
 
 from __future__ import annotations
@@ -17,9 +20,12 @@ from pricewright.staging import staged
 
 #: relative rank error of the sketch is 1/ACCURACY
 ACCURACY = 50_000
-#: groups up to this many values are small enough for Spark's own ``percentile``;
-#: past twice the accuracy the bracket margin is worth several ranks on each side
-WHOLE_BELOW = 2 * ACCURACY
+#: bracket half-width in ranks, in units of the sketch's error
+MARGIN = 3.0
+#: rows a rank is finally chosen from, and ranges an interval is cut into before that
+SMALL, CUTS = 50_000, 1_000
+#: cuts shrink an interval a thousandfold each, so doubles need far fewer rounds than this
+ROUNDS = 64
 
 
 def exact_quantiles(
@@ -30,85 +36,144 @@ def exact_quantiles(
     *,
     names: Sequence[str] | None = None,
     accuracy: int = ACCURACY,
-    whole_below: int = WHOLE_BELOW,
+    margin: float = MARGIN,
+    small: int = SMALL,
 ) -> DataFrame:
     """Linear-interpolated quantiles of the non-null values, one column per probability.
 
     Rows: ``by`` columns, then ``names`` (default ``q0, q1, ...``). A group
     without values has no row, except that an ungrouped call returns one row.
+    Jobs run while the frame is built.
     """
     names = list(names or (f"q{i}" for i in range(len(probs))))
-    keys = [f"_k{i}" for i in range(len(by))]
-    values = df.select(*(F.col(c).alias(k) for c, k in zip(by, keys)),
+    keys = [f"_k{i}" for i in range(len(by))] or ["_k0"]
+    values = df.select(*(F.col(c).alias(k) for c, k in zip(by, keys)), *([] if by else [F.lit(0).alias("_k0")]),
                        F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
-
-    brackets = staged(_brackets(values, keys, probs, accuracy, whole_below), "brackets")
-    largest = brackets.agg(F.max("_n")).first()[0] or 0
-    if largest <= whole_below:
-        every = values.groupBy(*keys).agg(F.percentile("_v", list(probs)).alias("_q"))
-        return every.select(*(F.col(k).alias(c) for k, c in zip(keys, by)),
-                            *(F.col("_q")[i].alias(name) for i, name in enumerate(names)))
-    # the staged side has a known size: Spark broadcasts it when it is small
-    if keys:
-        same = reduce(Column.__and__, (values[k].eqNullSafe(brackets[k]) for k in keys))
-        located = values.join(brackets, same).select(*(values[k] for k in keys), "_v", "_n", "_lo", "_hi")
-    else:
-        row = brackets.first()
-        located = values.select("_v", F.lit(row["_n"]).alias("_n"),
-                                F.lit(row["_lo"]).alias("_lo"), F.lit(row["_hi"]).alias("_hi"))
-    picked = _select_ranks(located, keys, probs, names)
-    return picked.select(*(F.col(k).alias(c) for k, c in zip(keys, by)), *names)
-
-
-def _brackets(values, keys, probs, accuracy, whole_below) -> DataFrame:
-    """Per group: count and, for each probability, two values its rank lies between."""
-    margin = 3.0 / accuracy
-    wanted = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
+    brackets = staged(_brackets(values, keys, probs, accuracy, margin), "brackets")
+    while True:
+        located = _beside(values, brackets, keys) if by else _with_row(values, brackets)
+        counted = staged(_counted(located, keys, len(probs)), "counted")
+        picked = staged(_picked(counted, brackets, keys, probs, small), "picked")
+        if picked.where("_low < _high").isEmpty():
+            break
+        brackets = staged(_widened(brackets, picked, keys, len(probs)), "brackets")
+    out = _interpolated(picked, brackets, keys, probs, names)
+    if not by:
+        return out.agg(*(F.max(name).alias(name) for name in names))
+    return out.select(*(F.col(k).alias(c) for k, c in zip(keys, by)), *names)
+
+
+def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    """Equal keys, nulls alike."""
+    return reduce(Column.__and__, (left[k].eqNullSafe(right[k]) for k in keys))
+
+
+def _beside(left: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
+    """``left`` with the state of its group; the staged side is broadcast when its files are small."""
+    extra = [c for c in state.columns if c not in keys]
+    return left.join(state, _same(left, state, keys)).select(*(left[c] for c in left.columns), *extra)
+
+
+def _with_row(left: DataFrame, state: DataFrame) -> DataFrame:
+    """``left`` with the only row of an ungrouped state, as literals: no join on one key."""
+    row = (state.collect() or [{c: None for c in state.columns}])[0]
+    return left.select("*", *(F.lit(row[c]).cast(state.schema[c].dataType).alias(c)
+                              for c in state.columns if c not in left.columns))
+
+
+def _brackets(values: DataFrame, keys: list[str], probs: Sequence[float], accuracy: int, margin: float) -> DataFrame:
+    """Per group: count and, for each probability, two values its rank should lie between."""
+    wide = margin / accuracy
+    wanted = [min(1.0, max(0.0, p + side * wide)) for side in (-1, 1) for p in probs]
     k = len(probs)
-    sketched = values.groupBy(*keys).agg(
-        F.count("_v").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-        F.percentile_approx("_v", wanted, accuracy).alias("_s"))
-    small = F.col("_n") <= whole_below
-
-    def bound(extreme: str, first: int) -> Column:
-        every = F.array(*(F.col(extreme) for _ in probs))
-        return F.when(small, every).otherwise(F.slice("_s", first, k))
-
-    return sketched.select(*keys, "_n", bound("_min", 1).alias("_lo"), bound("_max", k + 1).alias("_hi"))
+    return values.groupBy(*keys).agg(F.count("_v").alias("_n"), F.percentile_approx("_v", wanted, accuracy).alias("_s")
+                                     ).select(*keys, "_n", F.slice("_s", 1, k).alias("_lo"),
+                                              F.slice("_s", k + 1, k).alias("_hi"))
 
 
-def _select_ranks(located, keys, probs, names) -> DataFrame:
-    """Collapse values outside every bracket, order the rest, read off the ranks."""
+def _counted(located: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """``_low, _high, _c``: each value inside a bracket, and each gap between brackets as one row."""
     v = F.col("_v")
-    passed = sum(((v > F.col("_hi")[j]).cast("int") for j in range(len(probs))), F.lit(0))
-    inside = reduce(Column.__or__, ((v >= F.col("_lo")[j]) & (v <= F.col("_hi")[j])
-                                    for j in range(len(probs))))
-    # even segments are gaps, counted as a whole; odd ones keep their values
-    segment = passed * 2 + inside.cast("int")
-    counted = (located.select(*keys, "_n", segment.alias("_seg"), F.when(inside, v).alias("_v"))
-               .groupBy(*keys, "_n", "_seg", "_v").agg(F.count(F.lit(1)).alias("_c")))
-    order = Window.partitionBy(*keys, "_n").orderBy("_seg", F.col("_v").asc_nulls_first())
-    running = counted.withColumn("_cum", F.sum("_c").over(
-        order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-
-    n = F.col("_n")
-
-    def at(rank: Column) -> Column:
-        return F.min(F.when(F.col("_cum") > rank, F.struct("_seg", "_v")))
-
-    picks = []
-    for p, name in zip(probs, names):
-        rank = F.floor((n - 1) * F.lit(float(p)))
-        picks += [at(rank).alias(f"_a_{name}"),
-                  at(F.least(rank + 1, n - 1)).alias(f"_b_{name}")]
-    found = running.groupBy(*keys, "_n").agg(*picks)
-
-    def between(p: float, name: str) -> Column:
-        position = (n - 1) * F.lit(float(p))
+    passed = sum(((v > F.col("_hi")[j]).cast("int") for j in range(k)), F.lit(0))
+    inside = reduce(Column.__or__, ((v >= F.col("_lo")[j]) & (v <= F.col("_hi")[j]) for j in range(k)), F.lit(False))
+    return (located.select(*keys, "_v", passed.alias("_seg"), F.when(inside, v).alias("_own"))
+            .groupBy(*keys, "_seg", "_own").agg(
+                F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.count("*").alias("_c"))
+            .select(*keys, "_low", "_high", "_c"))
+
+
+def _targets(brackets: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+    """Two ranks per probability, those that the quantile lies between, over all values."""
+    position = [F.floor((F.col("_n") - 1) * F.lit(float(p))) for p in probs]
+    ranks = F.array(*(F.least(r + step, F.col("_n") - 1) for r in position for step in (0, 1)))
+    return brackets.select(*keys, F.posexplode(ranks).alias("_t", "_rank"))
+
+
+def _picked(counted: DataFrame, brackets: DataFrame, keys: list[str], probs: Sequence[float], small: int) -> DataFrame:
+    """``_t, _low, _high``: the counted row that holds each target rank."""
+    targets = _targets(brackets, keys, probs)
+    whole = F.lit(float("-inf")).alias("_from"), F.lit(float("inf")).alias("_to"), F.lit(0).cast("long").alias("_below")
+    state = targets.select(*keys, "_t", "_rank", *whole)
+    left = counted.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    span = counted.groupBy(*keys).agg(F.min("_low").alias("_first"), F.max("_low").alias("_last"))
+    if left > small:
+        state = staged(state.join(span, _same(state, span, keys)).select(
+            *(state[k] for k in keys), "_t", "_rank", F.col("_first").alias("_from"), F.col("_last").alias("_to"),
+            "_below"), "narrow")
+    for _ in range(ROUNDS):
+        if left <= small:
+            break
+        narrowed = staged(_narrowed(counted, state, keys), "narrow")
+        left = narrowed.agg(F.max("_rows")).first()[0] or 0
+        state = narrowed.drop("_rows")
+    near = _inside(counted, state, keys)
+    order = Window.partitionBy(*keys, "_t").orderBy("_low").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = near.withColumn("_cum", F.col("_below") + F.sum("_c").over(order)).where("_cum > _rank")
+    return reached.groupBy(*keys, "_t").agg(F.min(F.struct("_low", "_high")).alias("_p")).select(
+        *keys, "_t", "_p._low", "_p._high")
+
+
+def _inside(counted: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
+    """Counted rows beside each target of their group whose interval they are in."""
+    return counted.join(state, _same(counted, state, keys) & counted["_low"].between(state["_from"], state["_to"])
+                        ).select(*(counted[c] for c in counted.columns), "_t", "_rank", "_from", "_to", "_below")
+
+
+def _narrowed(counted: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
+    """Each target's interval cut down to the range, of ``CUTS`` equal ones, that holds its rank."""
+    width = F.col("_to") - F.col("_from")
+    cut = F.when(width > 0, F.least(F.floor((F.col("_low") - F.col("_from")) / width * CUTS), F.lit(CUTS))).otherwise(0)
+    ranges = _inside(counted, state, keys).groupBy(*keys, "_t", "_rank", "_below", cut.alias("_cut")).agg(
+        F.sum("_c").alias("_c"), F.count("*").alias("_rows"), F.min("_low").alias("_from"), F.max("_low").alias("_to"))
+    # at most CUTS + 1 rows per target, however many values there are
+    order = Window.partitionBy(*keys, "_t").orderBy("_cut").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = ranges.withColumn("_cum", F.col("_below") + F.sum("_c").over(order)).where("_cum > _rank")
+    return reached.groupBy(*keys, "_t", "_rank").agg(F.min(F.struct(
+        "_cut", "_from", "_to", (F.col("_cum") - F.col("_c")).alias("_below"), "_rows")).alias("_p")).select(
+        *keys, "_t", "_rank", "_p._from", "_p._to", "_p._below", "_p._rows")
+
+
+def _widened(brackets: DataFrame, picked: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """Brackets with those whose rank fell into a gap set to the gap."""
+    missed = picked.groupBy(*keys).agg(*(
+        f(F.when((F.floor(F.col("_t") / 2) == j) & (F.col("_low") < F.col("_high")), F.col(c))).alias(f"{c}{j}")
+        for j in range(k) for f, c in ((F.min, "_low"), (F.max, "_high"))))
+    both = brackets.join(missed, _same(brackets, missed, keys))
+    new = lambda old, c: F.array(*(F.coalesce(F.col(f"{c}{j}"), F.col(old)[j]) for j in range(k)))
+    return both.select(*(brackets[c] for c in keys), "_n", new("_lo", "_low").alias("_lo"), new("_hi", "_high").alias("_hi"))
+
+
+def _interpolated(picked: DataFrame, brackets: DataFrame, keys: list[str], probs: Sequence[float],
+                  names: list[str]) -> DataFrame:
+    sides = picked.groupBy(*keys).agg(*(
+        F.max(F.when(F.col("_t") == t, F.col("_low"))).alias(f"_r{t}") for t in range(2 * len(probs))))
+    both = brackets.join(sides, _same(brackets, sides, keys), "left").select(
+        *(brackets[c] for c in keys), "_n", *(f"_r{t}" for t in range(2 * len(probs))))
+
+    def between(j: int, p: float, name: str) -> Column:
+        position = (F.col("_n") - 1) * F.lit(float(p))
         share = position - F.floor(position)
-        a, b = F.col(f"_a_{name}._v"), F.col(f"_b_{name}._v")
-        exact = F.when(share == 0, a).otherwise(a + (b - a) * share)
-        missed = F.raise_error(F.lit("quantile rank outside its bracket")).cast("double")
-        return F.coalesce(exact, missed).alias(name)
+        a, b = F.col(f"_r{2 * j}"), F.col(f"_r{2 * j + 1}")
+        return F.when(share == 0, a).otherwise(a + (b - a) * share).alias(name)
 
-    return found.select(*keys, *(between(p, name) for p, name in zip(probs, names)))
+    return both.select(*keys, *(between(j, p, name) for j, (p, name) in enumerate(zip(probs, names))))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from pricewright.functions.numeric import drop_nan, parse_double, percent
 from pricewright.operators.profile import describe_long, null_counts
+from pricewright.sources.tables import presence
 from pricewright.spec import DOUBLE, LONG, STRING, TIME, TableSpec
 
 
@@ -22,6 +23,13 @@ def missing_columns(df: DataFrame, spec: TableSpec) -> DataFrame:
     return contract.join(present, "column", "left_anti")
 
 
+def contract_report(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Every contract column: described, present or not, and the rows that have a value."""
+    described = df.sparkSession.createDataFrame([(c, d) for c, (_, d) in spec.contract.items()],
+                                                "column string, description string")
+    return presence(df, list(spec.contract)).join(described, "column")
+
+
 def validate_schema(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Pass the table through, or raise naming what is missing."""
     missing = sorted(set(spec.contract) - set(df.columns))
@@ -35,12 +43,17 @@ def _type_name(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
-def _coerced(column: Column, actual: T.DataType, expected: str) -> Column:
+def _time(text: Column, layouts: tuple[str, ...]) -> Column:
+    """ISO first, then the spec's layouts in order; the first that fits wins."""
+    return F.coalesce(text.try_cast(TIME), *(F.try_to_timestamp(text, F.lit(x)).cast(TIME) for x in layouts))
+
+
+def _coerced(column: Column, actual: T.DataType, expected: str, layouts: tuple[str, ...] = ()) -> Column:
     text = isinstance(actual, T.StringType)
     if actual.simpleString() == expected:
         return drop_nan(column) if expected == DOUBLE else column
     if expected == TIME:
-        return (column if text else column.cast("string")).try_cast(TIME)
+        return _time(column if text else column.cast("string"), layouts)
     if expected in (DOUBLE, LONG):
         # lead times stay double until imputation: a fraction must not turn into NULL
         return parse_double(column) if text else drop_nan(column.try_cast("double"))
@@ -55,12 +68,27 @@ def coerce_types(df: DataFrame, spec: TableSpec) -> DataFrame:
         column = F.col(f"`{field.name}`")
         if field.name in spec.contract:
             expected = spec.contract[field.name][0]
-            column = _coerced(column, field.dataType, expected)
+            column = _coerced(column, field.dataType, expected, spec.time_layouts)
         return column.alias(field.name)
 
     return df.select(*(typed(f) for f in df.schema.fields))
 
 
+def unparsed_times(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Of the event times present in the renamed table, how many have no known layout."""
+    given = df.select(F.col(spec.event_time).alias("given"))
+    time = _coerced(F.col("given"), given.schema["given"].dataType, TIME, spec.time_layouts)
+    return given.agg(F.count("given").alias("given"), F.count_if(F.col("given").isNotNull() & time.isNull()).alias("unparsed"))
+
+
+def require_times(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows without a time are dropped later; refuse a table that would lose too many of them."""
+    row = unparsed_times(df, spec).first()
+    if row["unparsed"] > spec.unparsed_share * row["given"]:
+        raise ValueError(f"{row['unparsed']} of {row['given']} values of {spec.event_time} have no known layout")
+    return df
+
+
 # Status and action labels of the type report.
 _ACTIONS = {TIME: "to_datetime", DOUBLE: "to_numeric", LONG: "to_numeric", STRING: "to_string"}
 
@@ -109,6 +137,9 @@ def _with_range_flags(df: DataFrame, spec: TableSpec) -> DataFrame:
 def range_report(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Per bound: rows below and above, as a share of the rows still there. One aggregate."""
     bounds = _bounded(df, spec)
+    if not bounds:
+        return df.sparkSession.createDataFrame([], "column string, bound_lo double, bound_hi double, n_below bigint, "
+                                                   "n_above bigint, n_removed bigint, pct_removed double")
     flagged = _with_range_flags(df.select(*(c for c, _, _ in bounds)), spec)
     aggregates = []
     for i, (column, lo, hi) in enumerate(bounds):
@@ -150,13 +181,14 @@ def category_audit(df: DataFrame, spec: TableSpec) -> DataFrame:
     expected = spark.createDataFrame([(c, "|".join(labels)) for c, labels in audited.items()],
                                      "column string, expected_set string")
     labels = df.select(*audited).unpivot([], list(audited), "column", "unexpected_val")
-    counted = labels.groupBy("column", "unexpected_val").agg(F.count(F.lit(1)).alias("count"))
-    # every column has one cell per row, NULL cells included, so the sum is the row count
-    rows = counted.groupBy("column").agg(F.sum("count").alias("rows"))
+    # every column has one cell per row, NULL cells included, so the sum is the row count;
+    # the window sees one row per label, after the only scan
+    counted = (labels.groupBy("column", "unexpected_val").agg(F.count(F.lit(1)).alias("count"))
+               .withColumn("rows", F.sum("count").over(Window.partitionBy("column"))))
     return (counted.filter("unexpected_val IS NOT NULL")
+            # both come from the spec
             .join(F.broadcast(allowed), ["column", "unexpected_val"], "left_anti")
-            # both have one row per audited column
-            .join(F.broadcast(rows), "column").join(F.broadcast(expected), "column")
+            .join(F.broadcast(expected), "column")
             .select("column", "unexpected_val", "count",
                     percent(F.col("count"), F.col("rows"), 2).alias("pct"), "expected_set"))
 
@@ -172,6 +204,9 @@ def relabelled_counts(df: DataFrame, spec: TableSpec) -> DataFrame:
     """How many cells each label fix changes."""
     fixes = [(c, old, new) for c, m in spec.label_fixes.items() if c in df.columns
              for old, new in m.items()]
+    if not fixes:
+        return df.sparkSession.createDataFrame(
+            [], "column string, old_label string, new_label string, n_changed bigint")
     counted = df.agg(*(F.count_if(F.col(c) == old).alias(f"_{i}")
                        for i, (c, old, _) in enumerate(fixes)))
     return counted.select(F.inline(F.array(*(

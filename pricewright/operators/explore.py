@@ -53,7 +53,8 @@ def density(df: DataFrame, column: str, points: int = 200, *, log: bool = False)
     stats = values.agg(F.count("_v").cast("double").alias("n"), F.min("_v").alias("lo"),
                        F.max("_v").alias("hi"), F.stddev_samp("_v").alias("sd"))
     n, lo, hi, sd = (stats.select(c).scalar() for c in ("n", "lo", "hi", "sd"))
-    step, width = (hi - lo) / (points - 1), sd * F.pow(n, F.lit(-0.2))
+    # a constant column has no step and no bandwidth: its density is NULL at every point
+    step, width = F.nullif((hi - lo) / (points - 1), F.lit(0.0)), F.nullif(sd * F.pow(n, F.lit(-0.2)), F.lit(0.0))
     placed = values.select("_v", lo.alias("lo"), step.alias("step"), width.alias("h")) \
         .filter("h > 0 AND step > 0")
     reach = F.col("h") * _REACH
@@ -65,7 +66,7 @@ def density(df: DataFrame, column: str, points: int = 200, *, log: bool = False)
     scale = n * width * F.sqrt(F.lit(2.0) * F.pi())
     return (df.sparkSession.range(points).withColumnRenamed("id", "point")
             .join(summed, "point", "left")
-            .select("point", (lo + F.col("point") * step).alias("x"),
+            .select("point", (lo + F.col("point") * F.coalesce(step, F.lit(0.0))).alias("x"),
                     (F.coalesce("mass", F.lit(0.0)) / scale).alias("density")))
 
 
@@ -137,20 +138,19 @@ def top_by_mean(df: DataFrame, by: str, target: str, k: int = 5) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson correlation, long form; one aggregate over the upper half."""
+    """Pairwise-complete Pearson correlation, long form: one ungrouped aggregate of the pairs."""
     columns = [c for c in columns if c in df.columns]
-    cells = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
-    every = range(len(columns))
-    halves = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
-                                F.col(columns[i]).alias("a"), F.col(columns[j]).alias("b"))
-                       for i in every for j in every if i <= j))
-    # pairs are made and folded inside each task; one row per pair leaves it
-    half = (cells.select(F.inline(halves)).groupBy("i", "j")
-            .agg(pearson(F.col("a"), F.col("b")).alias("corr")))
-    both = half.unionByName(half.filter("i < j").select(
-        F.col("j").alias("i"), F.col("i").alias("j"), "corr"))
-    names = F.array(*(F.lit(c) for c in columns))
-    return both.select("i", "j", names[F.col("i")].alias("x"), names[F.col("j")].alias("y"), "corr")
+    pairs = [(i, j) for j in range(len(columns)) for i in range(j + 1)]
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "i int, j int, x string, y string, corr double")
+    cells = df.select(*(F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)))
+    wide = cells.agg(*(pearson(F.col(f"_{i}"), F.col(f"_{j}")).alias(f"c{i}_{j}") for i, j in pairs))
+
+    def cell(i: int, j: int) -> Column:
+        return F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(columns[i]).alias("x"),
+                        F.lit(columns[j]).alias("y"), F.col(f"c{min(i, j)}_{max(i, j)}").alias("corr"))
+
+    return wide.select(F.inline(F.array(*(cell(i, j) for i in range(len(columns)) for j in range(len(columns))))))
 
 
 def corr_lower(df: DataFrame, columns: Sequence[str]) -> DataFrame:

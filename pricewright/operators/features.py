@@ -143,13 +143,10 @@ def one_hot_stages(columns: Sequence[str]) -> list:
 
 
 def one_hot(train: DataFrame, df: DataFrame, column: str, key: str) -> DataFrame:
-    """Long form (key, feature, value): one row per row and training category."""
-    labels = (train.select(F.col(column).alias("category")).filter("category IS NOT NULL")
-              .distinct().agg(F.sort_array(F.collect_set("category")).alias("c")))
-    seen = labels.scalar()
-    return (df.select(key, F.col(column).alias("_v"), F.explode(seen).alias("category"))
-              .select(key, F.concat(F.lit(f"{column}_"), "category").alias("feature"),
-                      F.coalesce((F.col("_v") == F.col("category")).cast("int"), F.lit(0)).alias("value")))
+    """Long form (key, feature, value): the ones only. A label not seen in training has no row, a zero neither."""
+    seen = train.select(F.col(column).alias("category")).distinct()
+    return (df.select(key, F.col(column).alias("category")).join(seen, "category", "left_semi")
+              .select(key, F.concat(F.lit(f"{column}_"), "category").alias("feature"), F.lit(1).alias("value")))
 
 
 def preprocess(train: DataFrame, spec: TableSpec) -> PipelineModel:
@@ -162,7 +159,7 @@ def preprocess(train: DataFrame, spec: TableSpec) -> PipelineModel:
     stages += one_hot_stages(categorical)
     stages.append(VectorAssembler(
         inputCols=[f"{c}_z" for c in numeric] + [f"{c}_hot" for c in categorical],
-        outputCol="features", handleInvalid="error"))
+        outputCol="features", handleInvalid="keep"))
     return Pipeline(stages=stages).fit(train)
 
 

@@ -18,7 +18,7 @@ from pricewright.operators.features import feature_table
 Params = Mapping[str, Any]
 
 #: trees without a depth limit stop here; MLlib allows at most 30
-OPEN_DEPTH = 15
+OPEN_DEPTH = 30
 MAX_BINS = 256
 _VANISHING = 1e-10
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pricewright.functions.numeric import percent
 from pricewright.functions.quantiles import exact_quantiles
@@ -74,17 +74,26 @@ def sample_rows(df: DataFrame, n: int = 5, order: Sequence[str] | None = None) -
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, mean, sample std, min, quartiles, max; one row per numeric column."""
     columns = list(columns or numeric_columns(df))
-    return describe_long(
-        df.select(*(F.col(quoted(c)).cast("double").alias(c) for c in columns))
-          .unpivot([], [F.col(quoted(c)) for c in columns], "column", "value"), "column")
+    values = df.select(*(F.col(quoted(c)).cast("double").alias(c) for c in columns))
+    wide = values.agg(*(agg.alias(f"{name}{i}") for i, c in enumerate(columns) for name, agg in _moments(F.col(quoted(c)))))
+    moments = wide.select(F.inline(F.array(*(F.struct(F.lit(c).alias("column"), *(
+        F.col(f"{name}{i}").alias(name) for name in ("count", "mean", "std", "min", "max")))
+        for i, c in enumerate(columns)))))
+    return _with_quartiles(moments, values.unpivot(
+        [], [F.col(quoted(c)) for c in columns], "column", "value"), "column")
+
+
+def _moments(value: Column) -> list[tuple[str, Column]]:
+    return [("count", F.count(value)), ("mean", F.avg(value)), ("std", F.stddev_samp(value)),
+            ("min", F.min(value)), ("max", F.max(value))]
 
 
 def describe_long(cells: DataFrame, by: str) -> DataFrame:
     """``describe`` of ``value`` per ``by`` of a long table."""
-    moments = cells.groupBy(by).agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"))
+    return _with_quartiles(cells.groupBy(by).agg(*(agg.alias(name) for name, agg in _moments(F.col("value")))), cells, by)
+
+
+def _with_quartiles(moments: DataFrame, cells: DataFrame, by: str) -> DataFrame:
     quartiles = exact_quantiles(cells, "value", [0.25, 0.5, 0.75], [by], names=["p25", "p50", "p75"])
     return (moments.join(quartiles, by, "left")
             .select(by, "count", "mean", "std", "min", "p25", "p50", "p75", "max"))

@@ -23,11 +23,15 @@ def default_departure(requests: DataFrame, spec: TableSpec, lead: str = "Days_Be
 def score_batch(requests: DataFrame, model: PipelineModel, spec: TableSpec) -> DataFrame:
     """Derive features as in training, predict on the label's scale, return currency.
 
+    A request without one of the numeric inputs has a NULL prediction and the names of
+    the absent inputs in ``missing_inputs``; it stops neither a batch nor a stream.
     Works on streams too: nothing here keeps state.
     """
-    scored = model.transform(derive_features(requests, spec))
-    return scored.select(*(F.col(f"`{c}`") for c in requests.columns),
-                         invert_target(F.col("prediction"), spec.log_target).alias("predicted_fare"))
+    derived = derive_features(requests, spec)
+    absent = F.concat_ws(",", *(F.when(F.col(c).isNull(), F.lit(c)) for c in spec.numeric if c in derived.columns))
+    scored = model.transform(derived.withColumn("missing_inputs", F.nullif(absent, F.lit(""))))
+    fare = F.when(F.col("missing_inputs").isNull(), invert_target(F.col("prediction"), spec.log_target))
+    return scored.select(*(F.col(f"`{c}`") for c in requests.columns), fare.alias("predicted_fare"), "missing_inputs")
 
 
 def score_interval(scored: DataFrame, interval: DataFrame | None = None,

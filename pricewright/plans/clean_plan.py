@@ -26,7 +26,7 @@ def clean_run(raw: DataFrame, spec: TableSpec, *, reports: bool = True) -> Clean
     typed table is written too: the reports then read single columns of it
     instead of parsing the raw text again.
     """
-    renamed = clean.validate_schema(clean.rename_columns(raw, spec), spec)
+    renamed = clean.require_times(clean.validate_schema(clean.rename_columns(raw, spec), spec), spec)
     typed = clean.coerce_types(renamed, spec)
     if reports:
         typed = staged(typed, "typed")

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
-from pricewright.operators import evaluate, features, models, tuning
+from pricewright.operators import evaluate, features, impute, models, profile, tuning
 from pricewright.plans.clean_plan import clean_run
 from pricewright.plans.explore_plan import explore_run
 from pricewright.plans.train_plan import Trained, encode_split, full_refit, train_all
@@ -58,8 +58,10 @@ def full_run(raw: DataFrame, spec: TableSpec, root: str, *, explore: bool = True
     """
     spark = raw.sparkSession
     cleaned = clean_run(raw, spec)
-    derived = staged(features.row_key(features.derive_features(cleaned.frame, spec)), "features")
-    paths = tables.write_reports(cleaned.reports, f"{root}/reports")
+    complete = impute.assert_no_nulls(staged(cleaned.frame, "clean"))
+    derived = staged(features.row_key(features.derive_features(complete, spec)), "features")
+    profiled = {"profile_columns": profile.profile_columns(raw, approximate=True)}
+    paths = tables.write_reports(profiled | cleaned.reports, f"{root}/reports")
     if explore:
         paths += tables.write_reports(explore_run(derived, spec), f"{root}/explore")
 
@@ -69,9 +71,10 @@ def full_run(raw: DataFrame, spec: TableSpec, root: str, *, explore: bool = True
 
     best = trained.best()
     judged = trained.predictions.filter(F.col("model") == best)
-    artifacts.write_interval(evaluate.residual_std(judged, log=spec.log_target), f"{root}/residual_std")
     served = PipelineModel(stages=[*preprocessor.stages,
                                    full_refit(encoded, best, trained.params[best], spec.seed)])
     version = version or artifacts.version_stamp(spark)
-    artifacts.save_version(served, root, version, spark, learner=best, params=trained.params[best])
+    artifacts.save_version(served, root, version, spark, learner=best, params=trained.params[best],
+                           interval=evaluate.residual_std(judged, log=spec.log_target),
+                           metrics=evaluate.serving_metrics(trained.metrics))
     return Finished(best, version, served, trained, paths)

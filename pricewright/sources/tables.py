@@ -16,14 +16,19 @@ NULL_TOKENS = (
 )
 
 
-def scan_csv(spark: SparkSession, path: str, *, hint: str = "") -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, *, hint: str = "", multi_line: bool = False) -> DataFrame:
     """Header CSV as text columns with the null tokens already NULL.
 
     Types are never inferred (that would be one more pass over the file);
-    ``coerce_types`` gives the columns their contract types.
+    ``coerce_types`` gives the columns their contract types. Nothing is lost silently:
+    reading fails on a row with more or fewer cells than the header, and on a file of a
+    folder whose header differs. ``multi_line`` allows line breaks inside quotes, at
+    the price of one task per file.
     """
     try:
-        raw = spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"')
+        raw = (spark.read.option("columnPruning", False)
+               .csv(path, header=True, inferSchema=False, quote='"', escape='"', enforceSchema=False,
+                    multiLine=multi_line, mode="FAILFAST"))
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             raise FileNotFoundError(f"no data at '{path}'. {hint}".strip()) from error
@@ -42,11 +47,20 @@ def null_tokens(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame
     return df.select(*(clean(f) for f in df.schema.fields))
 
 
-def header_gate(df: DataFrame, required: Sequence[str]) -> DataFrame:
-    """Which required raw columns the header has. Reads no row."""
+def presence(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Per column: is it in the table, and in how many rows does it have a value. One aggregate."""
     have = set(df.columns)
-    return df.sparkSession.createDataFrame([(c, c in have) for c in required],
-                                           "column string, present boolean")
+    counted = df.agg(*(F.count(F.col(f"`{c}`") if c in have else F.lit(None)).alias(f"_{i}")
+                       for i, c in enumerate(columns)), F.count(F.lit(1)).alias("_rows"))
+    cells = [F.struct(F.lit(c).alias("column"), F.lit(c in have).alias("present"), F.col(f"_{i}").alias("rows"))
+             for i, c in enumerate(columns)]
+    kind = "array<struct<column:string,present:boolean,rows:bigint>>"
+    return counted.select(F.inline(F.array(*cells).cast(kind)))
+
+
+def header_gate(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    """Which required raw columns the table has, and how many rows fill them."""
+    return presence(df, required)
 
 
 def require_header(df: DataFrame, required: Sequence[str]) -> DataFrame:

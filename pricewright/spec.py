@@ -27,6 +27,10 @@ class TableSpec:
     #: column -> median | mean | mode | drop | <literal fill value>
     imputation: Mapping[str, str] = field(default_factory=dict)
     event_time: str = "Date"
+    #: layouts of times besides ISO, tried in order
+    time_layouts: tuple[str, ...] = ()
+    #: a table is refused if more than this share of its event times has no known layout
+    unparsed_share: float = 0.5
     base: str = "Base_Fare"
     surcharge: str = "Tax_Surcharge"
     target: str = "Total_Fare"
@@ -107,6 +111,10 @@ AIRFARES = TableSpec(
         "Class": "mode",
         "Booking_Source": "mode",
     },
+    time_layouts=(
+        "yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd HH:mm", "yyyy/MM/dd", "MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm",
+        "MM/dd/yyyy", "MMM d yyyy HH:mm", "MMM d yyyy", "d MMM yyyy HH:mm", "d MMM yyyy",
+    ),
     min_base=500,
     categorical=(
         "Airline", "Source", "Destination", "Season", "Stop_Type",

@@ -7,6 +7,7 @@ its size is known, a large one is not.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,7 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get(_CONF, None)
     if base:
         return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError(f"set {_CONF} to a folder shared by all executors")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:

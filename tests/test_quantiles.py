@@ -24,7 +24,15 @@ def got(row):
 ])
 def test_bracketed_selection_is_exact(spark, name, values):
     df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(7)
-    row = exact_quantiles(df, "v", PROBS, accuracy=200, whole_below=400).first()
+    row = exact_quantiles(df, "v", PROBS, accuracy=200).first()
+    np.testing.assert_allclose(got(row), expected(values), rtol=1e-12)
+
+
+@pytest.mark.parametrize("small,margin", [(20, 3.0), (50_000, -1.0)])
+def test_narrowing_and_missed_brackets_are_exact(spark, small, margin):
+    values = np.exp(np.random.default_rng(1).normal(0, 4, 20_000))
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(7)
+    row = exact_quantiles(df, "v", PROBS, accuracy=200, small=small, margin=margin).first()
     np.testing.assert_allclose(got(row), expected(values), rtol=1e-12)
 
 
@@ -33,9 +41,9 @@ def test_groups_of_all_sizes_and_a_null_group(spark):
     groups = {"hot": rng.normal(0, 1, 9_000), "small": rng.normal(5, 1, 37), "one": [4.0], None: [1.0, 2.0, 7.0]}
     rows = [(g, float(v)) for g, values in groups.items() for v in values] + [("empty", None), ("small", None)]
     df = spark.createDataFrame(rows, "g string, v double").repartition(5)
-    for limit in (400, 100_000):
+    for small in (10, 50_000):
         out = {r["g"]: got(r) for r in
-               exact_quantiles(df, "v", PROBS, ["g"], accuracy=200, whole_below=limit).collect()}
+               exact_quantiles(df, "v", PROBS, ["g"], accuracy=200, small=small).collect()}
         assert set(out) == set(groups)
         for g, values in groups.items():
             np.testing.assert_allclose(out[g], expected(values), rtol=1e-12)
@@ -55,8 +63,19 @@ def test_empty_column_gives_null(spark):
 def test_few_rows_leave_the_second_pass(spark):
     """Values outside the brackets are counted, not carried."""
     from pricewright.functions import quantiles
-    df = spark.range(50_000).select(F.col("id").cast("double").alias("_v"))
-    brackets = quantiles._brackets(df, [], [0.5], 1_000, 2_000).first()
-    located = df.select("_v", *(F.lit(brackets[c]).alias(c) for c in ("_n", "_lo", "_hi")))
-    inside = located.filter((F.col("_v") >= F.col("_lo")[0]) & (F.col("_v") <= F.col("_hi")[0])).count()
-    assert 0 < inside < 50_000 * 0.02
+    df = spark.range(50_000).select(F.lit(0).alias("_k0"), F.col("id").cast("double").alias("_v"))
+    brackets = quantiles._brackets(df, ["_k0"], [0.5], 1_000, 3.0)
+    counted = quantiles._counted(quantiles._with_row(df, brackets), ["_k0"], 1)
+    assert 0 < counted.count() < 50_000 * 0.02
+    assert counted.agg(F.sum("_c")).first()[0] == 50_000
+
+
+def test_no_task_orders_a_group(spark):
+    """Windows run over the ranges of an interval or over the few rows left, by target rank."""
+    from pricewright.functions import quantiles
+    df = spark.range(5_000).select(F.lit(0).alias("_k0"), F.col("id").cast("double").alias("_low"),
+                                   F.col("id").cast("double").alias("_high"), F.lit(1).cast("long").alias("_c"))
+    state = spark.createDataFrame([(0, 0, 2_500, 0.0, 4_999.0, 0)],
+                                  "_k0 int, _t int, _rank long, _from double, _to double, _below long")
+    narrowed = quantiles._narrowed(df, state, ["_k0"]).first()
+    assert narrowed["_rows"] <= 6 and narrowed["_below"] <= 2_500 < narrowed["_below"] + narrowed["_rows"]

@@ -58,7 +58,9 @@ def test_versions_and_rollback(spark, tmp_path):
     assert spread() > 1.9
     with pytest.raises(FileNotFoundError, match="209901010000"):
         artifacts.point_to(root, "209901010000", spark)
-    assert len(artifacts.version_stamp(spark)) == 12
+    assert len(artifacts.version_stamp(spark)) == 14
+    with pytest.raises(FileExistsError):
+        artifacts.save_version(prep, root, "202601010000", spark)
 
 
 def test_interval_store(spark, tmp_path):
@@ -225,9 +227,10 @@ def test_full_run_writes_reports_and_a_served_model(spark, tmp_path):
             "hist_target", "box_airline", "model_metrics", "cv_report_full", "learning_curve", "ridge_vs_lasso"} <= names
     for path in done.report_paths:
         assert spark.read.csv(path, header=True).columns or path.endswith("cv_unstable")
-    interval = artifacts.read_interval(spark, f"{root}/residual_std")
+    model, interval, metrics = artifacts.load_serving(root, spark)
+    assert metrics.first()["mae"] > 0 and "profile_columns" in names
     requests = base.fares(spark, SF).select(*REQUEST)
-    scored = score.score_interval(score.score_batch(requests, artifacts.load_version(root, spark), SMALL), interval)
+    scored = score.score_interval(score.score_batch(requests, model, SMALL), interval, metrics)
     assert scored.filter("lower < predicted_fare AND predicted_fare < upper").count() == requests.count()
 
 
