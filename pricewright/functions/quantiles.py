@@ -129,8 +129,12 @@ def _picked(counted: DataFrame, brackets: DataFrame, keys: list[str], probs: Seq
     near = _inside(counted, state, keys)
     order = Window.partitionBy(*keys, "_t").orderBy("_low").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reached = near.withColumn("_cum", F.col("_below") + F.sum("_c").over(order)).where("_cum > _rank")
-    return reached.groupBy(*keys, "_t").agg(F.min(F.struct("_low", "_high")).alias("_p")).select(
-        *keys, "_t", "_p._low", "_p._high")
+    # the first and the last rank of a gap are known without its values
+    known = F.when(F.col("_rank") == F.col("_cum") - F.col("_c"), F.col("_low")).when(
+        F.col("_rank") == F.col("_cum") - 1, F.col("_high"))
+    row = F.struct(F.col("_low").alias("_order"), F.coalesce(known, "_low").alias("_low"),
+                   F.coalesce(known, "_high").alias("_high"))
+    return reached.groupBy(*keys, "_t").agg(F.min(row).alias("_p")).select(*keys, "_t", "_p._low", "_p._high")
 
 
 def _inside(counted: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
@@ -154,13 +158,15 @@ def _narrowed(counted: DataFrame, state: DataFrame, keys: list[str]) -> DataFram
 
 
 def _widened(brackets: DataFrame, picked: DataFrame, keys: list[str], k: int) -> DataFrame:
-    """Brackets with those whose rank fell into a gap set to the gap."""
+    """Brackets whose ranks fell into a gap, widened over the gap. They only grow, so each misses a few times at most."""
     missed = picked.groupBy(*keys).agg(*(
         f(F.when((F.floor(F.col("_t") / 2) == j) & (F.col("_low") < F.col("_high")), F.col(c))).alias(f"{c}{j}")
         for j in range(k) for f, c in ((F.min, "_low"), (F.max, "_high"))))
     both = brackets.join(missed, _same(brackets, missed, keys))
-    new = lambda old, c: F.array(*(F.coalesce(F.col(f"{c}{j}"), F.col(old)[j]) for j in range(k)))
-    return both.select(*(brackets[c] for c in keys), "_n", new("_lo", "_low").alias("_lo"), new("_hi", "_high").alias("_hi"))
+    # least and greatest pass over the NULLs of brackets that held
+    lo = F.array(*(F.least(F.col("_lo")[j], F.col(f"_low{j}")) for j in range(k)))
+    hi = F.array(*(F.greatest(F.col("_hi")[j], F.col(f"_high{j}")) for j in range(k)))
+    return both.select(*(brackets[c] for c in keys), "_n", lo.alias("_lo"), hi.alias("_hi"))
 
 
 def _interpolated(picked: DataFrame, brackets: DataFrame, keys: list[str], probs: Sequence[float],
