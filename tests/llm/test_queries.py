@@ -7,6 +7,7 @@ import corpus_pipeline
 from pricewright.llm import decontaminate, near_dup, queries
 from pricewright.staging import staged
 from tests.compare import canonical
+from tests.llm.helpers import empty, messy
 
 SF = "/root/testdata/sf0.001"
 
@@ -49,3 +50,10 @@ def test_pipeline_runs_whole(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "language_id", "near_dup", "decontaminate", "mixing"]
+
+
+def test_stages_take_awkward_and_empty_tables(spark):
+    for docs, rows in ((messy(spark), 11), (empty(spark), 0)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, SF)
+            assert set(docs.columns) <= set(out.columns) and out.count() <= rows
