@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pricewright.llm import words as W
 from pricewright.llm.ship import shipped
+from pricewright.staging import staged
 
 PER_LANGUAGE = 300
 CHARACTERS = 1500
@@ -241,7 +242,9 @@ def fitted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", l
     rows = docs.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang"),
                        F.xxhash64(f"`{id_col}`", f"`{text_col}`").alias("salt")).where(
         "lang IS NOT NULL AND length(text) > 0")
-    taken = rows.join(rows.groupBy("lang").count(), "lang").where(
+    # one staged row per language: its known size lets Spark broadcast it, and no text moves
+    counts = staged(rows.groupBy("lang").count(), "languages")
+    taken = rows.join(counts, "lang").where(
         F.pmod("salt", F.lit(1_000_000)) * F.col("count") < F.lit(per_language * 1_000_000))
     start = F.pmod(F.col("salt"), F.greatest(F.length("text") - CHARACTERS + 1, F.lit(1))) + 1
     got = taken.select("lang", F.substring("text", start.cast("int"), F.lit(CHARACTERS)).alias("text")).distinct()
