@@ -19,12 +19,12 @@ _SPLIT_UNITS = 10_000
 
 def derive_features(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Month, Weekday (Monday = 0), Stop_Type and the Route label."""
-    direct = F.lower(F.trim(F.col("Stop_Raw"))) == "direct"
+    direct = F.lower(F.trim(F.col(spec.stops))) == spec.direct
     return (df.withColumn("Month", F.month(spec.event_time))
               .withColumn("Weekday", F.weekday(spec.event_time))
               # a missing label counts as a stop
               .withColumn("Stop_Type", F.when(direct, "Non_Stop").otherwise("With_Stop"))
-              .withColumn("Route", F.concat("Source", F.lit("→"), "Destination")))
+              .withColumn("Route", F.concat(spec.origin, F.lit("→"), spec.destination)))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

@@ -19,11 +19,11 @@ def explore_run(df: DataFrame, spec: TableSpec) -> dict[str, DataFrame]:
         "skew": explore.skew_pair(df, target),
         "monthly_trend": trend,
         "peak_months": explore.peak_months(trend),
-        "season_order": explore.median_order(df, "Season", target),
-        "box_season": explore.box_stats(df, "Season", target),
-        "season_premium": explore.season_premium(df, "Season", target),
-        "airline_summary": explore.group_summary(df, "Airline", target),
-        "box_airline": explore.box_stats(df, "Airline", target),
+        "season_order": explore.median_order(df, spec.season, target),
+        "box_season": explore.box_stats(df, spec.season, target),
+        "season_premium": explore.season_premium(df, spec.season, target),
+        "airline_summary": explore.group_summary(df, spec.carrier, target),
+        "box_airline": explore.box_stats(df, spec.carrier, target),
         "top_routes_count": explore.top_by_count(df, "Route"),
         "top_routes_fare": explore.top_by_mean(df, "Route", target),
         "corr_lower": explore.corr_lower(df, (*spec.numeric, target)),

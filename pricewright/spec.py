@@ -31,6 +31,14 @@ class TableSpec:
     time_layouts: tuple[str, ...] = ()
     #: a table is refused if more than this share of its event times has no known layout
     unparsed_share: float = 0.5
+    #: label column that tells direct journeys, and the label that means direct
+    stops: str = "Stop_Raw"
+    direct: str = "direct"
+    origin: str = "Source"
+    destination: str = "Destination"
+    #: columns whose groups the exploratory tables compare
+    season: str = "Season"
+    carrier: str = "Airline"
     base: str = "Base_Fare"
     surcharge: str = "Tax_Surcharge"
     target: str = "Total_Fare"
