@@ -29,11 +29,11 @@ BLOCK = frozenset("""address article aside blockquote body caption center dd det
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead"}}
 SCOPE = frozenset("ul ol dl table tr select div section article main body td th blockquote".split())
-BOILERPLATE = frozenset("""ad ads adv advert advertisement adverts advertising adsbygoogle alert banner breadcrumb
-    breadcrumbs comment commentlist comments consent cookie cookies copyright disclaimer disqus footer gdpr
+BOILERPLATE = frozenset("""ad ads adsense adv advert advertisement adverts advertising adsbygoogle alert banner breadcrumb
+    breadcrumbs comment commentform commentlist comments consent cookie cookies copyright disclaimer disqus footer gdpr
     header login masthead menu modal nav navbar navigation newsletter notice notices notification outbrain overlay
     pager pagination popup promo promotion promoted recommendations recommended related replies reply respond search
-    share sharing sidebar signup skip social sponsor sponsored subscribe taboola toolbar topbar widget""".split())
+    share sharing sidebar sidenav signup skip social sponsor sponsored subscribe taboola toolbar topbar topnav widget""".split())
 ROLES = frozenset("""alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search
     toolbar""".split())
 
@@ -42,6 +42,7 @@ _TOKEN = re.compile(
     re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAME = re.compile(r"[a-z]+")
+_HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: Paragraphs shorter than this pass no points; containers with more of their text in links are menus.
@@ -58,7 +59,7 @@ def _is_boilerplate(tag: str, raw: str) -> bool:
         return True
     if found.get("role", "").lower() in ROLES:
         return True
-    names = _NAME.findall(f"{found.get('class', '')} {found.get('id', '')}".lower())
+    names = _NAME.findall(_HUMP.sub(" ", f"{found.get('class', '')} {found.get('id', '')}").lower())
     return tag not in ("article", "main") and not BOILERPLATE.isdisjoint(names) or (
         tag == "article" and not {"comment", "comments", "reply", "ad", "related", "promo"}.isdisjoint(names))
 
@@ -69,7 +70,7 @@ class Page:
     def __init__(self, source: str):
         self.tags, self.parents, self.cut = ["#page"], [-1], [False]
         self.blocks: list[tuple[int, str, int]] = []
-        self._open, self._text, self._linked = [0], [], 0
+        self._open, self._text, self._linked, self._muted = [0], [], 0, 0
         self._parse(source)
 
     def _flush(self) -> None:
@@ -81,7 +82,7 @@ class Page:
         self._text, self._linked = [], 0
 
     def _say(self, text: str) -> None:
-        if text:
+        if text and not self._muted:
             text = html.unescape(text)
             self._text.append(text)
             if any(self.tags[e] == "a" for e in self._open[-4:]):
@@ -90,8 +91,13 @@ class Page:
     def _close(self, keep: int) -> None:
         if any(self.tags[e] in BLOCK for e in self._open[keep:]):
             self._flush()
+        self._muted -= sum(self._is_muted(e) for e in self._open[keep:])
         del self._open[keep:]
 
+    def _is_muted(self, e: int) -> bool:
+        """Boilerplate inside a line: its text is left out and does not end the block."""
+        return self.cut[e] and self.tags[e] not in BLOCK
+
     def _start(self, tag: str, raw: str) -> None:
         if tag == "br":
             self._text.append(" ")
@@ -113,6 +119,7 @@ class Page:
         self.parents.append(above)
         self.cut.append(_is_boilerplate(tag, raw))
         self._open.append(len(self.tags) - 1)
+        self._muted += self._is_muted(len(self.tags) - 1)
 
     def _end(self, tag: str) -> None:
         for k in range(len(self._open) - 1, 0, -1):

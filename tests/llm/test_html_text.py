@@ -28,6 +28,7 @@ def test_given_pages(spark):
     f"<div class='site-header'><p>{LOUD}</p></div>", f'<div id="sidebar"><p>{LOUD}</p><p>{LOUD}</p></div>',
     f"<div class=ad><p>{LOUD}</p></div>", f"<div class='cookie-notice'><p>{LOUD}</p></div>", f"<form><p>{LOUD}</p></form>",
     f"<section id=comments><p>{LOUD}</p><p>{LOUD}</p></section>", f"<article class='comment'><p>{LOUD}</p></article>",
+    f"<div id='siteNav'><p>{LOUD}</p></div>", f"<p class='notice'>{LOUD}</p>", f"<ins class=adsense>{LOUD}</ins>",
     f"<div role=navigation><p>{LOUD}</p></div>", f"<div hidden><p>{LOUD}</p></div>", f"<div style='display: none'>{LOUD}</div>",
     f"<script>if (a < b) '<p>{LOUD}</p>'</script>", f"<style>p {{}} {LOUD}</style>", f"<!-- <p>{LOUD}</p> -->",
     f"<noscript>{LOUD}</noscript>", f"<textarea>{LOUD}</textarea>", "<ul class=menu><li><a href=x>Home</a></ul>"])
@@ -52,6 +53,7 @@ def test_odd_markup():
     assert main_text("a < b &lt;b&gt; &#233;") == "a < b <b> é"
     assert main_text("<article><p>a<p>b<ul><li>x<li>y</ul><table><tr><td>1<td>2</table></article>") == "a\nb\nx\ny\n1\n2"
     assert main_text('<p title="a>b">q <a href="u">link</a>\n\t r<br>s</p>') == "q link r s"
+    assert main_text("<p>one, <span class='ad'>buy <b>now</b></span>two</p>") == "one, two"
     assert main_text("<div>one<p>two</p>three</div>") == "one\ntwo\nthree"
     assert main_text("<p>" * 3000 + "deep") == "deep"
     assert main_text("<div>" * 3000 + "deep") == "deep"
