@@ -3,9 +3,9 @@
 The windows of the benchmark are hashed into sorted arrays. A scan hashes the
 words of a batch of documents, looks every window up, and confirms each hit on
 the words themselves. The benchmark is cut into blocks of at most
-``BLOCK_WORDS`` words, the proven bound of what is broadcast; several blocks are
-scanned one after another, each adding to the hits of the one before, so the
-result does not depend on the number of blocks.
+``BLOCK_WORDS`` words, the proven bound of what is broadcast at once. Hits are
+taken from the same text over all blocks before anything is cut, so the result does
+not depend on the number of blocks.
 """
 
 from __future__ import annotations
@@ -152,7 +152,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (F.col("__hit") > 0).alias("contaminated"))
 
 
-def _without_hits(block: Block, text: bytes) -> tuple[bytes, int, int]:
+class _Held:
+    """All blocks of the benchmark, looked up as one."""
+
+    def __init__(self, held):
+        self.held = held
+
+    def hits(self, found: W.Words) -> list[tuple[int, int, set]]:
+        return [hit for block in self.held for hit in block.value.hits(found)]
+
+
+def _without_hits(block: Block | _Held, text: bytes) -> tuple[bytes, int, int]:
     """The text without hit words and what stands between them; words before and words removed.
 
     Cutting can join words to a new window, so it is repeated until none is left.
@@ -177,9 +187,8 @@ def _without_hits(block: Block, text: bytes) -> tuple[bytes, int, int]:
         text = b"".join([*parts, text[at:]])
 
 
-def _cutter(held, text_at: int, drop_share: float):
+def _cutter(block: _Held, text_at: int, drop_share: float):
     def run(batches):
-        block = held.value
         for batch in batches:
             found = W.words(batch.column(text_at), W.ALNUM)
             touched = {int(np.searchsorted(found.bounds, first, "right")) - 1 for first, _, _ in block.hits(found)}
@@ -201,13 +210,13 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text
     """``docs`` without the benchmark's passages, all columns kept.
 
     Hit words go, with what stands between them; a document of which ``drop_share``
-    or more of the words are hit goes as a whole. Untouched documents, null and
-    empty texts stay as they are.
+    or more of the words are hit goes as a whole. Words that a cut joins to a window are
+    hit too. Untouched documents, null and empty texts stay as they are. Rows and texts
+    are the same for any ``block_words``.
     """
     held = [shipped(docs.sparkSession).sparkContext.broadcast(b)
             for b in blocks(benchmark, window, item_col, item_text, block_words)]
     names = docs.columns
     frame = docs.withColumn(text_col, F.col(f"`{text_col}`").cast("binary"))
-    for block in [*held, *(held[:-1] if len(held) > 1 else [])]:  # a cut for one block may join words for an earlier one
-        frame = frame.mapInArrow(_cutter(block, names.index(text_col), drop_share), frame.schema)
+    frame = frame.mapInArrow(_cutter(_Held(held), names.index(text_col), drop_share), frame.schema)
     return frame.withColumn(text_col, F.col(f"`{text_col}`").cast("string"))

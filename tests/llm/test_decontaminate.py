@@ -78,6 +78,32 @@ def test_cutting_that_joins_a_new_window():
     assert D._without_hits(block, text.encode())[0].split() == [b"end"]
 
 
+def test_rows_and_texts_do_not_depend_on_blocks(spark):
+    tail = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    passage = tail("p", 14)
+    spelled = passage.split()
+    items = [(1, " ".join(spelled[:10])), (2, " ".join(spelled[4:])), (3, tail("a", 12)), (4, tail("b", 12)),
+             (5, tail("c", 12))]
+    docs = [(1, f"{tail('x', 30)} {passage} {tail('y', 30)}"), (2, f"{tail('a', 12)} {tail('x', 16)} {tail('b', 12)}"),
+            (3, f"{tail('x', 30)} {' '.join(tail('c', 12).split()[:6])} {tail('a', 12)} "
+                f"{' '.join(tail('c', 12).split()[6:])} {tail('y', 30)}"), (4, tail("x", 9)), (5, None)]
+    want = {1: f"{tail('x', 30)}  {tail('y', 30)}", 3: f"{tail('x', 30)}  {tail('y', 30)}", 4: tail("x", 9), 5: None}
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    squeeze = lambda t: t and " ".join(t.split())
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert len(list(D.blocks(bench, block_words=5))) > 4
+    rest = [{r["doc_id"]: r["text"] for r in D.remove_spans(frame, bench, block_words=n).collect()}
+            for n in (D.BLOCK_WORDS, 20, 5)]
+    assert rest[0] == rest[1] == rest[2]
+    assert {k: squeeze(t) for k, t in rest[0].items()} == {k: squeeze(t) for k, t in want.items()}
+    messy_docs, messy_items = tables(3)
+    frame = spark.createDataFrame(messy_docs, "doc_id long, text string")
+    bench = spark.createDataFrame(messy_items, "item_id long, text string")
+    one, many = ({(r["doc_id"], r["text"]) for r in D.remove_spans(frame, bench, block_words=n).collect()}
+                 for n in (D.BLOCK_WORDS, 5))
+    assert one == many
+
+
 def test_awkward_rows_and_empty_tables(spark):
     bench = spark.createDataFrame([(1, "quick brown fox jumps over the lazy dog and runs on"), (None, "ok"), (2, None)],
                                   "item_id long, text string")
