@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pricewright.staging import staged
 
 DAMPING = 0.85
-ROUNDS = 20
+#: Most that a host's score may lack, in seeds of one wholly allowed or blocked host.
 CLOSE = 1e-4
 #: Of the score of a host without links that is blocked as a whole.
 THRESHOLD = 0.5
@@ -53,15 +53,17 @@ def links(pages: DataFrame, html_col: str = "html") -> DataFrame:
             .where("source != '' AND source != target").groupBy("source", "target").agg(F.count("*").alias("n")))
 
 
-def propagated(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS,
-               close: float = CLOSE) -> DataFrame:
+def propagated(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, close: float = CLOSE) -> DataFrame:
     """``host, trust, distrust`` of ``host, trust, distrust`` seeds over ``source, target, n``.
 
     One personalised PageRank per direction, both in the same passes: a host passes
     ``damping`` of its trust to the hosts it links to, and of its distrust to those that
     link to it, in proportion to the links. Scores are divided by ``1 - damping``, so a
-    host without links keeps its seed. Rounds end when no more than ``close`` of the
-    seeds moves.
+    host without links keeps its seed. Rounds end when all that can still arrive anywhere,
+    ``damping / (1 - damping)`` of what moved last, is at most ``close``, so no host lacks
+    more than that, whatever other hosts the table has. What moves is at most ``damping`` of
+    the round before, so ``log(close * (1 - damping) / linked seeds) / log(damping)`` rounds
+    are enough. The largest change of a host would not do: many small ones can meet in one.
     """
     edges = staged(edges, "links")
     if edges.isEmpty():
@@ -78,18 +80,19 @@ def propagated(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rou
     start = seeds.select("host", F.explode(F.create_map(F.lit("trust"), "trust", F.lit("distrust"), "distrust"))
                          .alias("kind", "seed"))
     start = staged(start.where("seed > 0"), "seeds")
-    rank = start.select("kind", "host", F.col("seed").alias("score"))
-    total = start.agg(F.sum("seed")).first()[0] or 0.0
-    for _ in range(rounds):
-        moved = flows.join(rank, ["kind", "host"]).select(
-            "kind", F.col("other").alias("host"), (damping * F.col("share") * F.col("score")).alias("score"))
-        new = staged(start.select("kind", "host", F.col("seed").alias("score")).union(moved)
-                     .groupBy("kind", "host").agg(F.sum("score").alias("score")), "ranks")
-        change = new.agg(F.sum("score")).first()[0] or 0.0
-        grown = change - (rank.agg(F.sum("score")).first()[0] or 0.0)
-        rank = new
-        if grown <= close * total:
-            break
+    moving = start.join(flows.select("kind", "host").distinct(), ["kind", "host"], "left_semi").select(
+        "kind", "host", F.lit(0.0).alias("gained"), F.col("seed").alias("step"))
+    left = moving.agg(F.sum("step")).first()[0] or 0.0
+    while left * damping / (1 - damping) > close:
+        moved = flows.join(moving.where("step > 0"), ["kind", "host"]).select(
+            "kind", F.col("other").alias("host"), (damping * F.col("share") * F.col("step")).alias("step"))
+        moving = staged(moving.select("kind", "host", "gained", F.lit(0.0).alias("step"))
+                        .union(moved.select("kind", "host", F.col("step").alias("gained"), "step"))
+                        .groupBy("kind", "host").agg(F.sum("gained").alias("gained"), F.sum("step").alias("step")),
+                        "ranks")
+        left = moving.agg(F.sum("step")).first()[0] or 0.0
+    rank = start.withColumnRenamed("seed", "score").select("kind", "host", "score").union(
+        moving.select("kind", "host", F.col("gained").alias("score")))
     return rank.groupBy("host").agg(*(F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("score"))), F.lit(0.0)).alias(k)
                                       for k in ("trust", "distrust")))
 

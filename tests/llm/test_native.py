@@ -86,6 +86,31 @@ def test_distrust_flows_against_links_and_trust_along(spark):
     assert strict["fan"] == "block" and strict["friend"] == "allow"
 
 
+def test_scores_do_not_depend_on_unlinked_hosts(spark):
+    link = lambda host: f'<a href="https://{host}/p">x</a>'
+    rows = [(1, "http://two.org/x", link("one.org")), (2, "http://one.org/x", link("bad.org")), (3, "http://bad.org/x", None)]
+    rules = spark.createDataFrame([("com/", "allow"), ("bad.org/", "block")], "rule string, verdict string")
+    chain = spark.createDataFrame(rows, "page_id long, url string, html string")
+    others = spark.range(100, 20_100).select(F.col("id").alias("page_id"), F.format_string("http://h%d.com/x", "id").alias("url"),
+                                             F.lit(None).cast("string").alias("html"))
+    for pages in (chain, chain.union(others)):
+        got = {r["host"]: r for r in U.judged(pages, rules).where("page_id < 100").collect()}
+        assert {h: r["verdict"] for h, r in got.items()} == {"two.org": "block", "one.org": "block", "bad.org": "block"}
+        assert abs(got["two.org"]["distrust"] - 0.85 ** 2) < 1e-9
+
+
+def test_small_steps_that_meet_and_cycles(spark):
+    seeds = spark.createDataFrame([("a", 1.0, 0.0), ("s", 1.0, 0.0)], "host string, trust double, distrust double")
+    fan = spark.range(10_000).select(F.format_string("m%d", "id").alias("m"))
+    edges = (fan.select(F.lit("s").alias("source"), F.col("m").alias("target"))
+             .union(fan.select("m", F.lit("t"))).withColumn("n", F.lit(1).cast("long")))
+    got = {r["host"]: r["trust"] for r in U.propagated(seeds, edges).where("host IN ('s', 't')").collect()}
+    assert abs(got["s"] - 1) < 1e-9 and abs(got["t"] - 0.85 ** 2) < 1e-9
+    cycle = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "source string, target string, n long")
+    got = {r["host"]: r["trust"] for r in U.propagated(seeds, cycle, close=0.01).collect()}
+    assert 0 <= 1 / (1 - 0.85 ** 2) - got["a"] <= 0.01 and 0 <= 0.85 / (1 - 0.85 ** 2) - got["b"] <= 0.01
+
+
 def messages(spark, rows):
     return spark.createDataFrame(rows, "conv_id long, node string, parent string, role string, text string, score double")
 
