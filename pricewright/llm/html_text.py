@@ -1,7 +1,8 @@
 """Main text of web pages by tree scoring.
 
 A page becomes a list of elements and a list of text blocks. What is boilerplate by
-its tag, role or class is cut first. Then each paragraph passes points for its
+its tag or role is cut first; names of class and id only mark candidates, which stay if
+their prose speaks for them. Then each paragraph passes points for its
 length and its commas to its ancestors, less with every level, and a
 container's points are discounted by the share of its text inside links. The best
 container is kept, with siblings that score well or read like paragraphs; inside an
@@ -34,6 +35,14 @@ BOILERPLATE = frozenset("""ad ads adsense adv advert advertisement adverts adver
     header login masthead menu modal nav navbar navigation newsletter notice notices notification outbrain overlay
     pager pagination popup promo promotion promoted recommendations recommended related replies reply respond search
     share sharing sidebar sidenav signup skip social sponsor sponsored subscribe taboola toolbar topbar topnav widget""".split())
+#: Parts that say nothing of the content; a name of other parts beside a boilerplate one may mean something else.
+FRAME = frozenset("""above after area article articles bar before below block blog body bottom box button buttons col
+    column component container content desktop email entry field fixed form global group heading icon icons id inner
+    item items js left link links list lower main mobile module news outer page panel post posts primary region right
+    row secondary section site sticky stories story sub text thread title top upper widgets wp wrap wrapper""".split())
+CONTENT = frozenset("article body content entry main page post story text".split())
+NEGATING = frozenset("has hide no not with without".split())
+ARTICLE_MARKS = frozenset("comment comments reply ad related promo".split())
 ROLES = frozenset("""alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search
     toolbar""".split())
 
@@ -47,28 +56,40 @@ _SPACE = re.compile(r"\s+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: Paragraphs shorter than this pass no points; containers with more of their text in links are menus.
 SHORT, MENU = 25, 0.5
+#: Prose has fewer characters in links than this; a named candidate needs this much of it, and so many times the rest's.
+PROSE, BULK, TIMES = 0.25, 250, 5
+#: Why an element may be boilerplate: a name that may mean something else, a plain name, or tag, role or style.
+DOUBTED, NAMED, SURE = 1, 2, 3
 
 
-def _is_boilerplate(tag: str, raw: str) -> bool:
+def _doubt(tag: str, raw: str) -> int:
     if tag in CUT:
-        return True
+        return SURE
     if not raw or tag in ("html", "body"):
-        return False
+        return 0
     found = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(raw)}
     if "hidden" in found or found.get("aria-hidden") == "true" or _HIDDEN.search(found.get("style", "")):
-        return True
+        return SURE
     if found.get("role", "").lower() in ROLES:
-        return True
-    names = _NAME.findall(_HUMP.sub(" ", f"{found.get('class', '')} {found.get('id', '')}").lower())
-    return tag not in ("article", "main") and not BOILERPLATE.isdisjoint(names) or (
-        tag == "article" and not {"comment", "comments", "reply", "ad", "related", "promo"}.isdisjoint(names))
+        return SURE
+    if tag == "main":
+        return 0
+    names = [set(_NAME.findall(_HUMP.sub(" ", name).lower()))
+             for name in f"{found.get('class', '')} {found.get('id', '')}".split()]
+    if tag != "article" and any(len(parts) == 1 and parts <= CONTENT for parts in names):
+        return 0
+    marks = ARTICLE_MARKS if tag == "article" else BOILERPLATE
+    marked = [parts for parts in names if not marks.isdisjoint(parts) and NEGATING.isdisjoint(parts)]
+    if any(parts <= BOILERPLATE | FRAME for parts in marked):
+        return NAMED
+    return DOUBTED if marked and tag in BLOCK else 0
 
 
 class Page:
-    """Elements as parallel lists (tag, parent, boilerplate) and blocks of (element, text, characters in links)."""
+    """Elements as parallel lists (tag, parent, why it may be boilerplate) and blocks of (element, text, characters in links)."""
 
     def __init__(self, source: str):
-        self.tags, self.parents, self.cut = ["#page"], [-1], [False]
+        self.tags, self.parents, self.cut = ["#page"], [-1], [0]
         self.blocks: list[tuple[int, str, int]] = []
         self._open, self._text, self._linked, self._muted = [0], [], 0, 0
         self._parse(source)
@@ -96,7 +117,7 @@ class Page:
 
     def _is_muted(self, e: int) -> bool:
         """Boilerplate inside a line: its text is left out and does not end the block."""
-        return self.cut[e] and self.tags[e] not in BLOCK
+        return bool(self.cut[e]) and self.tags[e] not in BLOCK
 
     def _start(self, tag: str, raw: str) -> None:
         if tag == "br":
@@ -117,7 +138,7 @@ class Page:
         above = self._open[-1]
         self.tags.append(tag)
         self.parents.append(above)
-        self.cut.append(_is_boilerplate(tag, raw))
+        self.cut.append(_doubt(tag, raw))
         self._open.append(len(self.tags) - 1)
         self._muted += self._is_muted(len(self.tags) - 1)
 
@@ -148,9 +169,33 @@ class Page:
         self._flush()
 
 
+def _spared(page: Page) -> set[int]:
+    """Candidates that stay: doubted ones with prose, named ones that hold nearly all prose of the page."""
+    if not any(c in (DOUBTED, NAMED) for c in page.cut):
+        return set()
+    size, linked, prose = defaultdict(int), defaultdict(int), defaultdict(int)
+    for owner, text, in_links in page.blocks:
+        e = owner
+        while e >= 0:
+            size[e] += len(text)
+            linked[e] += in_links
+            prose[e] += len(text) if len(text) >= SHORT else 0
+            if page.cut[e] >= NAMED:
+                break
+            e = page.parents[e]
+    told = any(t in ("article", "main") and not c for t, c in zip(page.tags, page.cut))
+    out = set()
+    for e in size:
+        if prose[e] and linked[e] < PROSE * size[e]:
+            bulk = prose[e] >= BULK and prose[e] > TIMES * prose[0] and not told and page.tags[e] != "article"
+            if page.cut[e] == DOUBTED or page.cut[e] == NAMED and bulk:
+                out.add(e)
+    return out
+
+
 def _visible(page: Page) -> list[bool]:
     """Elements outside boilerplate; a boilerplate class on what holds an article or main does not count."""
-    holds = set()
+    holds, spared = set(), _spared(page)
     for e, tag in enumerate(page.tags):
         if tag in ("article", "main") and not page.cut[e]:
             k = page.parents[e]
@@ -159,7 +204,7 @@ def _visible(page: Page) -> list[bool]:
                 k = page.parents[k]
     out = []
     for e, tag in enumerate(page.tags):
-        own = not page.cut[e] or (e in holds and tag not in CUT)
+        own = not page.cut[e] or e in spared or (e in holds and tag not in CUT)
         out.append(own and (page.parents[e] < 0 or out[page.parents[e]]))
     return out
 

@@ -48,6 +48,34 @@ def test_tree_scoring_without_an_article():
     assert main_text(body) == text
 
 
+PROSE = "<p>Prose of the page, with commas, long enough to count, and to be read by all.</p>"
+SAID = "Prose of the page, with commas, long enough to count, and to be read by all."
+
+
+@pytest.mark.parametrize("names", ["class='content has-sidebar'", "class='post no-sidebar'", "class='page with-header'",
+                                   "class='layout--without-sidebar'", "id=searchResults", "class='layout-sidebar-right'"])
+def test_wrappers_with_boilerplate_parts_stay(names):
+    furniture = f"<div class='sidebar'><p>{LOUD}</p></div><div class='page-header'><p>{LOUD}</p></div>"
+    assert main_text(f"<body><div {names}>{furniture}{PROSE}{PROSE}</div></body>") == f"{SAID}\n{SAID}"
+
+
+def test_named_parts_of_an_article_stay_with_prose():
+    for names in ("id='related-work'", "class='search-results'", "class='share-price'"):
+        assert main_text(ARTICLE.replace("<p>Second", f"<section {names}>{PROSE}</section><p>Second")) == TEXT.replace(
+            "\nSecond", f"\n{SAID}\nSecond")
+        menu = "<ul><li><a href=x>A link to one more page of the site</a></ul>"
+        assert main_text(ARTICLE.replace("<p>Second", f"<section {names}>{menu}</section><p>Second")) == TEXT
+    assert main_text("<article><p>at <span class='share-price'>12 euros</span> a piece</p></article>") == "at 12 euros a piece"
+    for names in ("related-posts", "post-comments", "share-buttons", "search-form", "entry-footer"):
+        assert main_text(ARTICLE.replace("<p>Second", f"<div class={names}>{PROSE}</div><p>Second")) == TEXT
+
+
+def test_plain_name_around_nearly_all_prose():
+    assert main_text(f"<body><div class='widget'>{PROSE * 5}</div></body>") == "\n".join([SAID] * 5)
+    assert main_text(f"<body>{ARTICLE}<div class='widget'>{PROSE * 5}</div></body>") == TEXT
+    assert main_text(f"<body><div>{PROSE * 3}</div><div class='comments'>{PROSE * 5}</div></body>") == "\n".join([SAID] * 3)
+
+
 def test_odd_markup():
     assert main_text(None) == main_text("") == main_text("<p></p>") == main_text("<script>x") == ""
     assert main_text("a < b &lt;b&gt; &#233;") == "a < b <b> é"
