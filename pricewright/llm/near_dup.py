@@ -335,16 +335,22 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, id_co
 
 def keep_one(docs: DataFrame, *, words: int = 5, percent: int = 80, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """The documents that name their class, with all their columns.
+    """One document of each class, the one with the smallest id, with all their columns.
 
-    Repeated rows of one id are told apart by their content hash and fold into one;
-    rows without an id stay.
+    Rows that share an id are documents of their own here: where ids repeat, id and text
+    tell rows apart, and only rows of the same id and text fold into one. Rows without an
+    id stay.
     """
-    classes = near_duplicates(docs, words=words, percent=percent, id_col=id_col, text_col=text_col)
-    kept = staged(classes.where("kept").groupBy(id_col).agg(F.count("*").alias("__rows")), "kept")
-    once = docs.join(kept.where("__rows = 1 OR " + f"`{id_col}` IS NULL"),
-                     docs[id_col].eqNullSafe(kept[id_col]), "left_semi")
-    many = kept.where(f"__rows > 1 AND `{id_col}` IS NOT NULL")
-    if many.isEmpty():
-        return once
-    return once.unionByName(docs.join(many, id_col, "left_semi").dropDuplicates([id_col]))
+    own = F.col(f"`{id_col}`")
+    if docs.where(own.isNotNull()).groupBy(own.alias("__id")).count().where("count > 1").isEmpty():
+        classes = near_duplicates(docs, words=words, percent=percent, id_col=id_col, text_col=text_col)
+        kept = staged(classes.where("kept").select(own.alias("__id")), "kept")
+        return docs.join(kept, own.eqNullSafe(F.col("__id")), "left_semi")
+    said = F.coalesce(F.sha2(F.col(f"`{text_col}`").cast("binary"), 256), F.lit(""))
+    keyed = docs.withColumn("__row", F.concat(own.cast("string"), F.lit(":"), said))
+    classes = near_duplicates(keyed, words=words, percent=percent, id_col="__row", text_col=text_col)
+    ids = keyed.where(own.isNotNull()).select("__row", own.alias("__id")).distinct()
+    kept = staged(classes.join(ids, "__row").groupBy("component_id").agg(F.min(F.struct("__id", "__row")).alias("first"))
+                  .select("first.__row"), "kept")
+    once = keyed.join(kept, "__row", "left_semi").dropDuplicates(["__row"])
+    return once.unionByName(keyed.where(own.isNull())).drop("__row")

@@ -87,6 +87,16 @@ def test_repeated_rows_fold_when_kept(spark):
     assert near_dup.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).count() == 2
 
 
+def test_one_id_with_two_texts_when_kept(spark):
+    first, second, third = "a b c d e f", "q r s t u v", "k l m n o p"
+    rows = [(1, first), (1, second), (10, first), (9, third), (9, third.upper()), (9, second), (None, first), (None, first)]
+    got = near_dup.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r[0] or 0, r[1].lower()) for r in got) == [(0, first), (0, first), (1, first), (1, second), (9, third)]
+    rows = [(0, second), (1, first), (1, second), (2, first)]
+    got = near_dup.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == [(0, second), (1, first)]
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(20)] + [(100, 101), (103, 101), (7, 7)] + [(500, k) for k in range(400, 450)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "u long, v long")).collect()))
