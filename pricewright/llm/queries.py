@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from pricewright.llm import (
-    chat, decontaminate, html_text, language_id, mil_quality, mixing, near_dup, quality_rules,
+    chat, decontaminate, html_text, language_id, mil_quality, mixing, near_dup, periodic_runs, quality_rules,
     token_counts, url_filter,
 )
 from pricewright.llm.oracles import ORACLES  # noqa: F401
@@ -91,6 +91,35 @@ def op10_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mil_quality.assessed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; a tenth of the documents, by their id, repeat some of their words to the end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split("text", r"[ \t-\r]+"), lambda w: w != "")
+    cut = docs.select("doc_id", "text", g.alias("g"), F.when(h % 10 == 0, words).alias("words")).withColumn(
+        "n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int")).withColumn(
+        "p", F.expr("cast(1 + floor((n - a) / (3 + g % 8)) as int)"))
+    planted = F.expr("""array_join(concat(slice(words, 1, a), slice(flatten(array_repeat(
+        slice(words, a + 1, p), cast(ceil((n - a) / p) as int))), 1, n - a)), ' ')""")
+    return cut.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic(with_planted_runs(table(spark, sf_dir, "documents")))
+    best = F.array_min(F.transform("runs", lambda r: F.struct(
+        (-r["length"]).alias("minus"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(
+        r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", F.col("best.start").alias("start"), (-F.col("best.minus")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("floor(1000 * -best.minus / best.period)").cast("long").alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_url_filter": op2_url_filter,
@@ -102,4 +131,5 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_chat": op9_chat,
     "op10_mil_quality": op10_mil_quality,
+    "op13_periodic_runs": op13_periodic_runs,
 }
