@@ -94,4 +94,19 @@ SELECT conv_id, n_turns, sha256(line) AS turns_sha256, CAST(length(learned) AS B
 FROM read
 """
 
-ORACLES = {"op3_decontaminate": OP3, "op4_near_dup": OP4, "op5_quality_rules": OP5, "op9_chat": OP9}
+OP12 = """
+WITH usable AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+found AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+    FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS place FROM found)
+SELECT query_id, CAST(place AS INT) AS rank, vec_id, score FROM ranked WHERE place <= 10
+"""
+
+ORACLES = {"op3_decontaminate": OP3, "op4_near_dup": OP4, "op5_quality_rules": OP5, "op9_chat": OP9,
+           "op12_one_bit_search": OP12}

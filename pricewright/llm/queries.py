@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from pricewright.llm import (
-    chat, decontaminate, html_text, language_id, mil_quality, mixing, near_dup, periodic_runs, quality_rules,
-    token_counts, url_filter,
+    chat, decontaminate, html_text, language_id, mil_quality, mixing, near_dup, one_bit_search, periodic_runs,
+    prefix_trie, quality_rules, token_counts, url_filter,
 )
 from pricewright.llm.oracles import ORACLES  # noqa: F401
+from pricewright.llm.ship import shipped
+from pricewright.staging import staged
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,6 +96,64 @@ def op10_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mil_quality.assessed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def rebuilt(letters: DataFrame) -> DataFrame:
+    """Conversation c begins with the first h turns of conversation c - c % 100, and goes on with its own after h."""
+    conv = F.col("conv")
+    base, h = conv - conv % 100, (F.crc32(conv.cast("string").cast("binary")) % 6).alias("h")
+    heads = staged(letters.where((conv % 100 == 0) & (F.col("place") <= 5)), "heads")
+    lengths = heads.groupBy(conv.alias("base")).agg(F.max("place").alias("n"))
+    own = letters.withColumn("h", h).where("place > h").withColumn("base", base).join(lengths, "base", "left").select(
+        "conv", (F.col("place") - F.col("h") + F.least("h", F.coalesce("n", F.lit(0)))).alias("place"), "letter", "size")
+    convs = letters.select("conv").distinct().select("conv", base.alias("base"), h)
+    taken = convs.join(heads.withColumnRenamed("conv", "base"), "base").where("place <= h").select(
+        "conv", "place", "letter", "size")
+    return own.unionByName(taken)
+
+
+def _streamed_digests(batches):
+    """SHA-256 of the comma-joined parts of each name; rows come sorted by name."""
+    name, digest = None, None
+    for batch in batches:
+        done = []
+        for own, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if own != name:
+                if name is not None:
+                    done.append((name, digest.hexdigest()))
+                name, digest = own, hashlib.sha256(part.encode())
+            else:
+                digest.update(b"," + part.encode())
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*done), (pa.binary(), pa.string()))],
+                                             ["end", "ends_sha256"])
+    if name is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([name], pa.binary()), pa.array([digest.hexdigest()])],
+                                         ["end", "ends_sha256"])
+
+
+def member_digests(ends: DataFrame) -> DataFrame:
+    """``end, ends_sha256`` of ascending members; blocks of 1,024 ids are joined first, a name's blocks are streamed."""
+    shipped(ends.sparkSession)
+    blocks = ends.groupBy("end", F.floor(F.col("conv") / 1024).alias("block")).agg(F.array_join(F.transform(
+        F.sort_array(F.collect_list("conv")), lambda c: c.cast("string")), ",").alias("part"))
+    return blocks.repartition("end").sortWithinPartitions("end", "block").select("end", "part").mapInArrow(
+        _streamed_digests, "end binary, ends_sha256 string")
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    letters = staged(prefix_trie.lettered(table(spark, sf_dir, "conversations")), "turns")
+    nodes, ends = prefix_trie.trie(staged(rebuilt(letters), "rebuilt"), letters.select("conv").distinct())
+    digests = staged(member_digests(ends), "digests")
+    named = nodes.join(digests, "end", "left")
+    return named.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
+                        F.col("saved").alias("saved_tokens"),
+                        F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"))
+
+
+def op12_one_bit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return one_bit_search.nearest(one_bit_search.build(vectors), vectors.where("vec_id % 100 = 0"))
+
+
 def with_planted_runs(docs: DataFrame) -> DataFrame:
     """``doc_id, text``; a tenth of the documents, by their id, repeat some of their words to the end."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -131,5 +194,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_chat": op9_chat,
     "op10_mil_quality": op10_mil_quality,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_one_bit_search": op12_one_bit_search,
     "op13_periodic_runs": op13_periodic_runs,
 }

@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for name in ("documents", "pages", "benchmark", "labels", "conversations"):
+    for name in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     return connection
 
