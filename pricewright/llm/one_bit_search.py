@@ -178,7 +178,8 @@ def _compared(rows: np.ndarray, asked: np.ndarray, at: np.ndarray, to: np.ndarra
     out, step = np.empty(len(at)), max(1, STEP_BYTES // (8 * rows.shape[1]))
     for low in range(0, len(at), step):
         part = slice(low, low + step)
-        out[part] = np.sqrt(((rows[to[part]].astype(np.float64) - asked[at[part]])**2).sum(axis=1))
+        # summed along the first axis: one coordinate after the other, as a plain loop would
+        out[part] = np.sqrt((np.ascontiguousarray((rows[to[part]].astype(np.float64) - asked[at[part]]).T)**2).sum(axis=0))
     return out
 
 

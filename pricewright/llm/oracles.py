@@ -101,7 +101,8 @@ WITH usable AS (
       AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
       AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 found AS (
-    SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+    SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(
+        range(1, len(q.v) + 1), lambda i: (q.v[i] - c.v[i]) * (q.v[i] - c.v[i])), lambda a, b: a + b)) AS score
     FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
 ranked AS (
     SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS place FROM found)
