@@ -119,9 +119,13 @@ def formatted(messages: DataFrame, *, tree_col: str = "conv_id", node_col: str =
 def read_back(conversations: DataFrame, *, formatted_col: str = "formatted", mask_col: str = "loss_mask") -> DataFrame:
     """Adds ``turns`` (role, text) and ``learned`` (texts under the mask), parsed from the formatted text alone."""
     lines = F.split(F.regexp_replace(F.col(formatted_col), r"(?s) </turn>\n\z", ""), " </turn>\n")
-    turns = F.transform(lines, lambda line: F.struct(
-        unescaped(F.regexp_extract(line, r"(?s)\A### ((?:[^\\:]|\\.)*): ", 1)).alias("role"),
-        unescaped(F.regexp_replace(line, r"(?s)\A### (?:[^\\:]|\\.)*: ", "")).alias("text")))
+    # with each escaped pair blanked out, the first ": " ends the head; no group under a star, which Java would
+    # match by recursion, one level per character
+    placed = F.transform(lines, lambda line: F.struct(
+        line.alias("line"), F.instr(F.regexp_replace(line, r"(?s)\\.", "  "), ": ").alias("at")))
+    turns = F.transform(placed, lambda p: F.struct(
+        unescaped(F.substr(p["line"], F.lit(5), p["at"] - 5)).alias("role"),
+        unescaped(F.substr(p["line"], p["at"] + 2)).alias("text")))
     wide = conversations.withColumn("__points", F.encode(F.col(formatted_col), "UTF-32"))
     span = lambda s: F.decode(F.substring(
         F.col("__points"), (s["start"] * 4 + 1).cast("int"), (s["length"] * 4).cast("int")), "UTF-32")

@@ -139,3 +139,15 @@ def test_long_chain_round_trip(spark):
     assert back["formatted"].count("</turn>") == 70 and back["formatted"].count("###") == 70
     assert hashlib.sha256(back["formatted"].encode()).hexdigest() == chat.formatted(messages(spark, rows)).select(
         F.sha2("formatted", 256)).first()[0]
+
+
+def test_long_roles_long_texts_and_clashing_columns(spark):
+    roles = ["r:\\#</x " * 15_000, "a" * 100_000, ":" * 50_000, "\\" * 50_001, "", "user: ", "日本🎉\\: "]
+    texts = ["word: " * 150_000, "\\### x: </turn> " * 3000, "", ": ", " </turn>\n", "### a: b", "\\"]
+    rows = [(1, k, k - 1 if k else None, role, text, 1.0, "t", "l", 7, 8, "up", "m")
+            for k, (role, text) in enumerate(zip(roles, texts))]
+    messages = spark.createDataFrame(rows, "conv_id long, node long, parent long, role string, text string, score double, "
+                                           "tree string, leaf string, depth long, start long, up string, turns string")
+    read = no_python(chat.read_back(chat.formatted(messages, learned=(roles[0], "")))).first()
+    assert [tuple(t) for t in read["turns"]] == list(zip(roles, texts))
+    assert read["learned"] == [texts[0], texts[4]]
