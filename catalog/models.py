@@ -26,13 +26,16 @@ CABIN = replace(SPEC, categorical=("Class",), numeric=())
 AIRLINE = replace(SPEC, categorical=("Airline",), numeric=())
 DURATION = replace(SPEC, categorical=(), numeric=("Duration_hrs",))
 MONTH = replace(SPEC, categorical=(), numeric=("Month",))
+PAIR = replace(SPEC, categorical=(), numeric=("Duration_hrs", "Month"))
+JOURNEY = replace(SPEC, categorical=("Journey",), numeric=())
 TWO = replace(SPEC, categorical=(), numeric=("Duration_hrs", "Weekday", "Constant"))
 _ALPHAS = models.GRIDS["ridge"]["alpha"]
 
 
 def design(spark, sf, spec):
     """(encoded rows with label, split and folds; fitted preprocessor)."""
-    frame = featured(spark, sf).withColumn("Constant", F.lit(7.0))
+    frame = featured(spark, sf).withColumn("Constant", F.lit(7.0)).withColumn(
+        "Journey", F.concat("Route", F.lit(" "), "Stop_Type"))
     model = features.preprocess(frame.filter("NOT is_test"), spec)
     kept = ("rid", "label", "is_test", "fold", "Class", "Airline", "Duration_hrs", "Month")
     return staged(features.encode(frame, model, *kept), "design"), model
@@ -69,21 +72,33 @@ def grid_search(spark, sf):
     return rounded(found.table.select("candidate", "mean_train_r2", "mean_val_r2"), 6)
 
 
+def grid_search_tree(spark, sf):
+    """Depths are read off one fit per fold and leaf size."""
+    train, _ = train_rows(spark, sf, MONTH)
+    found = tuning.grid_search("tree", _SMALL_SPACE, train, SPEC.folds, key="rid")
+    return rounded(found.table.select("candidate", "params", "mean_val_r2"), 6)
+
+
 # A tree space whose scores SQL can state; the full one is models.SPACES.
-_SMALL_SPACE = {"max_depth": [1, 2]}
-_SAMPLE = 2
+_SMALL_SPACE = {"max_depth": [1, 2], "min_samples_leaf": [1, 2, 3]}
+_SAMPLE = 4
 
 
 def random_search(spark, sf):
     train, _ = train_rows(spark, sf, MONTH)
-    found = tuning.random_search("tree", _SMALL_SPACE, train, SPEC.folds, _SAMPLE, SPEC.seed)
+    found = tuning.random_search("tree", _SMALL_SPACE, train, SPEC.folds, _SAMPLE, SPEC.seed, key="rid")
     return rounded(found.table.select("candidate", "params", "mean_val_r2"), 6)
 
 
 def train_val_gap(spark, sf):
-    train, _ = train_rows(spark, sf, CABIN)
-    found = tuning.search("tree", [{"max_depth": 2}], train, SPEC.folds)
-    return rounded(found.table.select("mean_train_r2", "mean_val_r2", "gap", "overfit"), 6)
+    """A tree with three leaves, and least squares with a coefficient per journey, which learns by heart."""
+    out = []
+    for spec, name, params in ((CABIN, "tree", {"max_depth": 2}), (JOURNEY, "linear", {})):
+        train, _ = train_rows(spark, sf, spec)
+        found = tuning.search(name, [params], train, SPEC.folds)
+        out.append(found.table.select(F.lit(spec.categorical[0]).alias("design"), "mean_train_r2", "mean_val_r2", "gap",
+                                      "overfit"))
+    return rounded(out[0].unionByName(out[1]), 6)
 
 
 def cv_scores(spark, sf):
@@ -92,9 +107,11 @@ def cv_scores(spark, sf):
     return rounded(scores.select("fold", F.col("val_r2").alias("r2")), 6)
 
 
-def learning_curve(spark, sf):
-    train, _ = train_rows(spark, sf, CABIN)
-    return rounded(tuning.learning_curve("tree", {"max_depth": 2}, train, "rid", SPEC.seed), 6)
+def _learning(name, params):
+    def run(spark, sf):
+        train, _ = train_rows(spark, sf, CABIN)
+        return rounded(tuning.learning_curve(name, params, train, "rid", SPEC.seed), 6)
+    return run
 
 
 def _airline_ridge(spark, sf):
@@ -182,10 +199,12 @@ QUERIES = {
     "fit_gbt_depth": _by_group("gbt_depth", MONTH, "Month", {"max_depth": 1, "n_estimators": 2, "learning_rate": 0.3}),
     "fit_gbt_leaf": _by_group("gbt_leaf", MONTH, "Month", {"num_leaves": 2, "n_estimators": 3, "learning_rate": 0.5}),
     "grid_search": grid_search,
+    "grid_search_tree": grid_search_tree,
     "random_search": random_search,
     "train_val_gap": train_val_gap,
     "cv_scores": cv_scores,
-    "learning_curve": learning_curve,
+    "learning_curve": _learning("linear", {}),
+    "learning_curve_tree": _learning("tree", {"max_depth": 2}),
     "feature_importance": feature_importance,
     "importance_share": importance_share,
     "coef_compare": coef_compare,
@@ -265,8 +284,23 @@ _FOLD_R2 = """WITH t AS (SELECT fold, Class, label AS y FROM features WHERE NOT
         FROM t JOIN m USING (Class) GROUP BY k, fold = k)"""
 
 
-def _random() -> str:
+_GAP = f"""SELECT '{{design}}' AS design,
+        {r('avg(r2) FILTER (NOT held_out)', 6)} AS mean_train_r2, {r('avg(r2) FILTER (held_out)', 6)} AS mean_val_r2,
+        {r('avg(r2) FILTER (NOT held_out) - avg(r2) FILTER (held_out)', 6)} AS gap,
+        avg(r2) FILTER (NOT held_out) - avg(r2) FILTER (held_out) > 0.05 AS overfit FROM s"""
+
+# least squares on a column per journey: their means, and the mean of those for one the other folds lack
+_JOURNEY_R2 = """WITH t AS (SELECT fold, Route || ' ' || Stop_Type AS d, label AS y FROM features WHERE NOT is_test),
+  m AS (SELECT k, d, avg(y) AS p FROM t, range(5) f(k) WHERE fold <> k GROUP BY k, d),
+  b AS (SELECT k, avg(p) AS b FROM m GROUP BY k),
+  s AS (SELECT k, fold = k AS held_out, 1 - avg((y - coalesce(p, b)) * (y - coalesce(p, b))) / var_pop(y) AS r2
+        FROM t JOIN b ON true LEFT JOIN m USING (k, d) GROUP BY k, fold = k)"""
+
+
+def _trees(candidates) -> str:
     """Depths one and two on every fold: splits found on the other folds, scored on this one."""
+    rows = " UNION ALL ".join(f"SELECT {i} AS c, '{tuning._text(p)}' AS params, avg({'one' if p['max_depth'] == 1 else 'two'}) AS v FROM s"
+                              for i, p in enumerate(candidates))
     score = "1 - avg((y - {p}) * (y - {p})) / var_pop(y)"
     return f"""WITH t AS (SELECT fold, Month AS x, label AS y FROM features WHERE NOT is_test),
       tr AS (SELECT k AS side, x, y FROM t, range(5) f(k) WHERE fold <> k), {_stump('d1', 'tr')},
@@ -277,9 +311,7 @@ def _random() -> str:
                WHEN x <= d2.cut THEN d2.l ELSE d2.h END AS two
         FROM t JOIN d1 ON d1.side = fold LEFT JOIN d2 ON d2.side = fold * 2 + CAST(x > d1.cut AS INTEGER)),
       s AS (SELECT fold, {score.format(p='one')} AS one, {score.format(p='two')} AS two FROM p GROUP BY fold)
-      SELECT CAST(c AS INTEGER) AS candidate, params, {r('v', 6)} AS mean_val_r2 FROM (
-        SELECT 0 AS c, '{{"max_depth": 1}}' AS params, avg(one) AS v FROM s
-        UNION ALL SELECT 1, '{{"max_depth": 2}}', avg(two) FROM s)"""
+      SELECT CAST(c AS INTEGER) AS candidate, params, {r('v', 6)} AS mean_val_r2 FROM ({rows})"""
 
 
 def _curve() -> str:
@@ -329,14 +361,14 @@ ORACLES = {
     "fit_gbt_depth": query("features", f"SELECT * FROM ({_boosted(2, 0.3)})"),
     "fit_gbt_leaf": query("features", f"SELECT * FROM ({_boosted(3, 0.5)})"),
     "grid_search": query("features", f"SELECT * FROM ({_grid()})"),
-    "random_search": query("features", f"SELECT * FROM ({_random()})"),
-    "train_val_gap": query("features", f"""SELECT * FROM ({_FOLD_R2}
-      SELECT {r('avg(r2) FILTER (NOT held_out)', 6)} AS mean_train_r2, {r('avg(r2) FILTER (held_out)', 6)} AS mean_val_r2,
-        {r('avg(r2) FILTER (NOT held_out) - avg(r2) FILTER (held_out)', 6)} AS gap,
-        avg(r2) FILTER (NOT held_out) - avg(r2) FILTER (held_out) > 0.05 AS overfit FROM s)"""),
+    "grid_search_tree": query("features", f"SELECT * FROM ({_trees(tuning.grid(_SMALL_SPACE))})"),
+    "random_search": query("features", f"SELECT * FROM ({_trees(tuning.sampled(_SMALL_SPACE, _SAMPLE, SPEC.seed))})"),
+    "train_val_gap": query("features", f"""SELECT * FROM ({_FOLD_R2} {_GAP.format(design='Class')})
+      UNION ALL SELECT * FROM ({_JOURNEY_R2} {_GAP.format(design='Journey')})"""),
     "cv_scores": query("features", f"""SELECT * FROM ({_FOLD_R2}
       SELECT CAST(k AS INTEGER) AS fold, {r('r2', 6)} AS r2 FROM s WHERE held_out)"""),
     "learning_curve": query("features", f"SELECT * FROM ({_curve()})"),
+    "learning_curve_tree": query("features", f"SELECT * FROM ({_curve()})"),
     "feature_importance": query("features", f"""SELECT * FROM ({AIRLINE_RIDGE}
       SELECT 'Airline_' || Airline AS feature, {r('abs(w)', 6)} AS importance FROM w ORDER BY abs(w) DESC LIMIT 15)"""),
     "importance_share": query("features", f"""SELECT * FROM ({AIRLINE_RIDGE}

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pricewright.functions.numeric import FOLD_STREAM, MODULUS, SIZE_STREAM, TEST_STREAM, seed_offset
+from pricewright.functions.numeric import (
+    BAG_DRAWS, FOLD_STREAM, MODULUS, SIZE_STREAM, TEST_STREAM, bag_limits, bag_stream, seed_offset)
 from pricewright.sources.tables import NULL_TOKENS
 from pricewright.spec import AIRFARES as SPEC
 
@@ -11,6 +12,12 @@ def bucket(key: str, buckets: int, stream: int, seed: int = SPEC.seed) -> str:
     return f"CAST((((({key}) % {MODULUS}) * {stream} + {seed_offset(seed)}) % {MODULUS}) * {buckets} // {MODULUS} AS INTEGER)"
 
 
+def bag_weight(key: str, tree: int, seed: int = SPEC.seed) -> str:
+    """How often a row is in the bootstrap sample of a tree."""
+    draw = bucket(key, BAG_DRAWS, bag_stream(tree), seed)
+    return "(" + " + ".join(f"CAST({draw} >= {limit} AS DOUBLE)" for limit in bag_limits()) + ")"
+
+
 IS_TEST = f"({bucket('rid', 10_000, TEST_STREAM)} < 2000)"
 FOLD = bucket("rid", 5, FOLD_STREAM)
 SIZE = bucket("rid", 1000, SIZE_STREAM)

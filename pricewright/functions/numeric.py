@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, functions as F
 
 # Modulus of the Lehmer generator and multipliers from
@@ -10,6 +12,7 @@ MODULUS = 2_147_483_647
 TEST_STREAM = 950_706_376
 FOLD_STREAM = 742_938_285
 SIZE_STREAM = 1_226_874_159
+BAG_STREAM = 62_089_911
 SEED_MULTIPLIER = 48_271
 
 
@@ -31,11 +34,37 @@ def bucket(key: Column | str, buckets: int, seed: int, stream: int) -> Column:
         .cast("int")
 
 
+#: draws a bag weight is read from, and the greatest weight; a greater one has a chance of 1e-7
+BAG_DRAWS, BAG_MOST = 1_000_000, 9
+
+
+def bag_limits() -> list[int]:
+    """Draws from which on a Poisson(1) weight is at least 1, 2, ..."""
+    chances = [math.exp(-1) / math.factorial(k) for k in range(BAG_MOST)]
+    return [round(sum(chances[:k + 1]) * BAG_DRAWS) for k in range(BAG_MOST)]
+
+
+def bag_stream(tree: int) -> int:
+    """Multiplier of a tree's draws: powers of one multiplier, so that no tree's draws are another's shifted."""
+    return pow(BAG_STREAM, tree + 1, MODULUS)
+
+
+def bag_weight(key: Column | str, tree: int, seed: int) -> Column:
+    """How often a row is in the bootstrap sample of a tree: Poisson(1), by row key and tree alone."""
+    draw = bucket(key, BAG_DRAWS, seed, bag_stream(tree))
+    return sum(((draw >= limit).cast("double") for limit in bag_limits()), F.lit(0.0))
+
+
 def drop_nan(column: Column) -> Column:
     """NaN becomes NULL: one kind of missing value, as NaN compares greater than anything."""
     return F.nanvl(column, F.lit(None).cast("double"))
 
 
+def finite(column: Column) -> Column:
+    """NaN and infinite values become NULL."""
+    return F.when(F.abs(column) < F.lit(float("inf")), column)
+
+
 def parse_double(text: Column) -> Column:
     """Text to double, NULL where it is no number. Java's ``1.5d`` suffixes are no numbers."""
     # the pattern only runs on the few texts that end in such a letter
@@ -57,13 +86,6 @@ def unbiased_skew(column: Column) -> Column:
              .otherwise(adjusted))
 
 
-def pearson(x: Column, y: Column) -> Column:
-    """Pairwise-complete correlation; NULL when either side is constant."""
-    x_seen, y_seen = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-    spread = F.stddev_pop(x_seen) * F.stddev_pop(y_seen)
-    return F.try_divide(F.covar_pop(x, y), spread)
-
-
 def r_squared(actual: Column, predicted: Column) -> Column:
     """1 - SSE/SST as one aggregate; NULL when the actual value is constant."""
     error = actual - predicted

@@ -6,14 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pricewright.functions.numeric import pearson, unbiased_skew
+from pricewright.functions.numeric import finite, unbiased_skew
 from pricewright.functions.quantiles import exact_quantiles
 from pricewright.staging import staged
 
 
 def _value(df: DataFrame, column: str, log: bool = False) -> DataFrame:
+    """The column's values as ``_v``; missing, NaN and infinite ones have no place on an axis and are left out."""
     v = F.col(column).cast("double")
-    return df.select((F.log1p(v) if log else v).alias("_v")).filter("_v IS NOT NULL")
+    return df.select(finite(F.log1p(v) if log else v).alias("_v")).filter("_v IS NOT NULL")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 60, *, log: bool = False) -> DataFrame:
@@ -107,7 +108,7 @@ def median_order(df: DataFrame, by: str, target: str) -> DataFrame:
 
 def box_stats(df: DataFrame, by: str, target: str) -> DataFrame:
     """Quartiles, whiskers at the last values within 1.5 IQR, and outliers per group."""
-    rows = df.select(by, F.col(target).cast("double").alias("_v")).filter(
+    rows = df.select(by, finite(F.col(target).cast("double")).alias("_v")).filter(
         F.col(by).isNotNull() & F.col("_v").isNotNull())
     quartiles = exact_quantiles(rows, "_v", [0.25, 0.5, 0.75], [by], names=["q1", "median", "q3"])
     # written, so that its size is known: a broadcast spares the rows a shuffle by group
@@ -138,13 +139,28 @@ def top_by_mean(df: DataFrame, by: str, target: str, k: int = 5) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson correlation, long form: one ungrouped aggregate of the pairs."""
+    """Pairwise-complete Pearson correlation, long form; NULL where a side of a pair does not vary.
+
+    A first pass finds, per pair, whether both sides vary over the rows that have both, as ``corr`` divides by
+    zero where one does not; the second takes all correlations. A NaN or infinite value counts as missing.
+    """
     columns = [c for c in columns if c in df.columns]
     pairs = [(i, j) for j in range(len(columns)) for i in range(j + 1)]
     if not pairs:
         return df.sparkSession.createDataFrame([], "i int, j int, x string, y string, corr double")
-    cells = df.select(*(F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)))
-    wide = cells.agg(*(pearson(F.col(f"_{i}"), F.col(f"_{j}")).alias(f"c{i}_{j}") for i, j in pairs))
+    cells = df.select(*(finite(F.col(c).cast("double")).alias(f"_{i}") for i, c in enumerate(columns)))
+
+    def varies(x: Column, y: Column) -> Column:
+        both = F.when(y.isNotNull(), x)
+        return F.min(both) < F.max(both)
+
+    side = {(i, j): (F.col(f"_{i}"), F.col(f"_{j}")) for i, j in pairs}
+    known = cells.agg(F.struct(*(
+        (varies(x, y) & varies(y, x)).alias(f"v{i}_{j}") for (i, j), (x, y) in side.items())).alias("v"))
+    marked = cells.withColumn("_v", known.scalar())
+    wide = marked.agg(*(
+        F.max(F.when(F.col(f"_v.v{i}_{j}"), 1.0)).alias(f"c{i}_{j}") if i == j else
+        F.corr(F.when(F.col(f"_v.v{i}_{j}"), x), y).alias(f"c{i}_{j}") for (i, j), (x, y) in side.items()))
 
     def cell(i: int, j: int) -> Column:
         return F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(columns[i]).alias("x"),

@@ -13,6 +13,7 @@ from pyspark.ml.regression import (
     DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor)
 from pyspark.sql import DataFrame, Window, functions as F
 
+from pricewright.operators import ensembles
 from pricewright.operators.features import feature_table
 
 Params = Mapping[str, Any]
@@ -134,10 +135,25 @@ def estimator(name: str, params: Params, stats: LabelStats | None = None, *,
     raise ValueError(f"unknown learner {name}")
 
 
-def fit(name: str, params: Params, df: DataFrame, **options) -> Model:
-    """Fit on a table with ``features`` and ``label``."""
+#: learners whose result would depend on partitions and row order if those were left as they come
+TREES = ("tree", "forest", "gbt_depth", "gbt_leaf")
+
+
+def fit(name: str, params: Params, df: DataFrame, *, key: str | None = None, arranged: bool = False, **options) -> Model:
+    """Fit on a table with ``features`` and ``label``; the same model whatever the partitioning.
+
+    ``key`` is the column that decides which bootstrap samples a row is in, by default its
+    content. ``arranged`` says that ``df`` is laid out already (see ``ensembles.laid_out``).
+    """
     stats = label_stats(df, options.get("label", "label")) if name in ("linear", "ridge") else None
-    return estimator(name, params, stats, **options).fit(df)
+    learner = estimator(name, params, stats, **options)
+    if name not in TREES:
+        return learner.fit(df)
+    rows = df if arranged else ensembles.laid_out(
+        df, key, features=learner.getFeaturesCol(), label=learner.getLabelCol())
+    if name == "forest" and learner.getBootstrap():
+        return ensembles.bagged(learner, rows, learner.getNumTrees(), learner.getSeed(), key)
+    return learner.fit(rows)
 
 
 def feature_importance(model: Model, spark, names: Sequence[str], top: int | None = 15) -> DataFrame:

@@ -39,12 +39,15 @@ def evaluation_run(trained: Trained, encoded: DataFrame, spec: TableSpec, key: s
         "model_cv_comparison": evaluate.cv_summary(trained.metrics, spec.folds),
         "cv_report_full": report,
         "cv_unstable": evaluate.cv_unstable(report),
+        "residual_table": evaluate.residual_table(judged, log=spec.log_target),
+        "pred_vs_actual": evaluate.pred_vs_actual(judged, key, log=spec.log_target),
         "residual_hist": evaluate.residual_hist(judged, log=spec.log_target),
         "feature_importance": importances.limit(15),
         "importance_share": models.importance_share(importances),
         "learning_curve": tuning.learning_curve(
             best, trained.params[best], encoded.filter("NOT is_test"), key, spec.seed),
     }
+    out |= {f"search_{name}": table for name, table in trained.searches.items()}
     if {"ridge", "lasso"} <= set(trained.models):
         out["ridge_vs_lasso"] = models.coef_compare(trained.models["ridge"], trained.models["lasso"], spark, names)
     return out
@@ -72,7 +75,7 @@ def full_run(raw: DataFrame, spec: TableSpec, root: str, *, explore: bool = True
     best = trained.best()
     judged = trained.predictions.filter(F.col("model") == best)
     served = PipelineModel(stages=[*preprocessor.stages,
-                                   full_refit(encoded, best, trained.params[best], spec.seed)])
+                                   full_refit(encoded, best, trained.params[best], spec.seed, "row_key")])
     version = version or artifacts.version_stamp(spark)
     artifacts.save_version(served, root, version, spark, learner=best, params=trained.params[best],
                            interval=evaluate.residual_std(judged, log=spec.log_target),

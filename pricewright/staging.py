@@ -10,7 +10,10 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
@@ -59,3 +62,10 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def in_parallel(spark: SparkSession, tasks: Sequence[Callable], parallelism: int) -> list:
+    """Results of driver-side tasks that each run distributed jobs, several at a time."""
+    in_session = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return [f.result() for f in [pool.submit(in_session(t)) for t in tasks]]

@@ -3,6 +3,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from pricewright.functions import numeric as num
+from pricewright.operators import explore
 
 
 def column(spark, values, kind="double"):
@@ -33,11 +34,15 @@ def test_skew_is_bias_adjusted(spark):
 
 
 def test_correlation_is_pairwise_complete_and_null_for_a_constant(spark):
-    rows = [(1.0, 2.0, 7.0), (2.0, None, 7.0), (3.0, 1.0, 7.0), (None, 5.0, 7.0), (4.0, 9.0, 7.0)]
+    nan, inf = float("nan"), float("inf")
+    rows = [(1.0, 2.0, 7.0), (2.0, None, 7.0), (3.0, 1.0, 7.0), (None, 5.0, 7.0), (4.0, 9.0, 7.0), (nan, 3.0, 7.0), (2.0, inf, 7.0)]
     df = spark.createDataFrame(rows, "a double, b double, c double")
-    frame = pd.DataFrame(rows, columns=["a", "b", "c"])
-    assert abs(one(df, num.pearson(F.col("a"), F.col("b"))) - frame["a"].corr(frame["b"])) < 1e-12
-    assert one(df, num.pearson(F.col("a"), F.col("c"))) is None
+    frame = pd.DataFrame(rows, columns=["a", "b", "c"]).replace([inf], nan)
+    got = {(r["x"], r["y"]): r["corr"] for r in explore.corr_matrix(df, ["a", "b", "c"]).collect()}
+    assert len(got) == 9 and got["a", "b"] == got["b", "a"]
+    assert abs(got["a", "b"] - frame["a"].corr(frame["b"])) < 1e-12
+    assert got["a", "a"] == got["b", "b"] == 1.0
+    assert got["a", "c"] is None and got["c", "c"] is None
 
 
 def test_percent_of_nothing_is_null(spark):
