@@ -13,7 +13,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from catalog.base import SPEC, featured, raw, rounded
-from fixtures.sql import bucket, query, r
+from fixtures.sql import bag_weight, bucket, query, r
 from pricewright.functions.numeric import FOLD_STREAM
 from pricewright.operators import evaluate, features, models, tuning
 from pricewright.plans.retrain_plan import retrain
@@ -56,6 +56,19 @@ def _by_group(name, spec, by, params=None):
     return run
 
 
+_BAGGED = {"n_estimators": 5, "max_depth": 1, "max_features": 0.5}
+# Which of the two features (0 Duration_hrs, 1 Month) MLlib draws for the root of each tree at the spec's seed.
+_DRAWN = (0, 0, 1, 0, 1)
+
+
+def fit_forest_bagged(spark, sf):
+    """Bootstrap samples and feature subsets on: trees of one split, each with its own weights and feature."""
+    encoded, _ = design(spark, sf, PAIR)
+    model = models.fit("forest", _BAGGED, encoded.filter("NOT is_test"), key="rid", seed=SPEC.seed)
+    return rounded(model.transform(encoded).groupBy("Month", "Duration_hrs").agg(
+        F.min("prediction").alias("prediction"), F.max("prediction").alias("same")))
+
+
 def _fit_line(name, params):
     """Slope and intercept on one scaled numeric."""
     def run(spark, sf):
@@ -196,6 +209,7 @@ QUERIES = {
     "fit_lasso": _fit_line("lasso", {"alpha": 0.05}),
     "fit_tree": _by_group("tree", MONTH, "Month", {"max_depth": 1}),
     "fit_forest": _by_group("forest", MONTH, "Month", {"max_depth": 2, "n_estimators": 5, "bootstrap": False}),
+    "fit_forest_bagged": fit_forest_bagged,
     "fit_gbt_depth": _by_group("gbt_depth", MONTH, "Month", {"max_depth": 1, "n_estimators": 2, "learning_rate": 0.3}),
     "fit_gbt_leaf": _by_group("gbt_leaf", MONTH, "Month", {"num_leaves": 2, "n_estimators": 3, "learning_rate": 0.5}),
     "grid_search": grid_search,
@@ -227,9 +241,9 @@ _S = """SELECT count(*) AS n, avg(y) AS my, avg(z) AS mz, covar_pop(y, z) * coun
   var_pop(z) * count(*) AS szz, var_pop(y) * count(*) AS syy FROM t"""
 
 
-def _stump(name: str, rows: str) -> str:
+def _stump(name: str, rows: str, weight: str = "1") -> str:
     """Best split of (side, x, y) rows per side by squared error: ``name`` has side, cut and the means."""
-    return f"""{name}_g AS (SELECT side, x, count(*) AS n, sum(y) AS s FROM {rows} GROUP BY side, x),
+    return f"""{name}_g AS (SELECT side, x, sum({weight}) AS n, sum({weight} * y) AS s FROM {rows} WHERE {weight} > 0 GROUP BY side, x),
       {name}_c AS (SELECT a.side, a.x AS cut, sum(b.n) FILTER (b.x <= a.x) AS nl, sum(b.s) FILTER (b.x <= a.x) AS sl,
           sum(b.n) FILTER (b.x > a.x) AS nr, sum(b.s) FILTER (b.x > a.x) AS sr
         FROM {name}_g a JOIN {name}_g b ON a.side = b.side GROUP BY a.side, a.x),
@@ -263,6 +277,19 @@ _DEPTH_TWO = f"""{_FIRST}, u AS (SELECT CAST(x > cut AS INTEGER) AS side, x, y F
                'm JOIN s0 ON true LEFT JOIN s1 ON s1.side = CAST(Month > s0.cut AS INTEGER)')}"""
 
 
+def _bagged() -> str:
+    """The mean of weighted stumps, one per tree and its drawn feature."""
+    column = ("Duration_hrs", "Month")
+    weights = ", ".join(f"{bag_weight('rid', t)} AS w{t}" for t in range(len(_DRAWN)))
+    parts = ", ".join(f"x{t} AS (SELECT 0 AS side, {column[f]} AS x, y, w{t} FROM t), {_stump(f's{t}', f'x{t}', f'w{t}')}"
+                      for t, f in enumerate(_DRAWN))
+    mean = " + ".join(f"CASE WHEN {column[f]} <= s{t}.cut THEN s{t}.l ELSE s{t}.h END" for t, f in enumerate(_DRAWN))
+    value = f"({mean}) / {len(_DRAWN)}"
+    return f"""WITH t AS (SELECT rid, Month, Duration_hrs, label AS y, {weights} FROM features WHERE NOT is_test), {parts}
+      SELECT Month, {r('Duration_hrs')} AS Duration_hrs, {r(value)} AS prediction, {r(value)} AS same
+      FROM (SELECT DISTINCT Month, Duration_hrs FROM features), {', '.join(f's{t}' for t in range(len(_DRAWN)))}"""
+
+
 def _grid() -> str:
     """Ridge on one numeric for every penalty and fold, from sums per side."""
     alphas = ", ".join(f"({i}, {a!r})" for i, a in enumerate(_ALPHAS))
@@ -358,6 +385,7 @@ ORACLES = {
     "fit_tree": query("features", f"""SELECT * FROM ({_FIRST}
       {_month_rows('CASE WHEN Month <= cut THEN l ELSE h END', 'm, s0')})"""),
     "fit_forest": query("features", f"SELECT * FROM ({_DEPTH_TWO})"),
+    "fit_forest_bagged": query("features", f"SELECT * FROM ({_bagged()})"),
     "fit_gbt_depth": query("features", f"SELECT * FROM ({_boosted(2, 0.3)})"),
     "fit_gbt_leaf": query("features", f"SELECT * FROM ({_boosted(3, 0.5)})"),
     "grid_search": query("features", f"SELECT * FROM ({_grid()})"),

@@ -22,7 +22,7 @@ from pyspark.ml.regression import (
     DecisionTreeRegressionModel, GBTRegressionModel, RandomForestRegressionModel, RandomForestRegressor)
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pricewright.functions.numeric import bag_weight
+from pricewright.functions.numeric import bag_weight, seed_offset
 from pricewright.staging import in_parallel
 
 #: rows of a partition, about, and partitions at least; neither looks at the cluster
@@ -73,7 +73,7 @@ def bagged(estimator: RandomForestRegressor, rows: DataFrame, trees: int, seed:
     def grow(tree: int) -> DecisionTreeRegressionModel:
         one = estimator.copy({
             estimator.numTrees: 1, estimator.bootstrap: False, estimator.subsamplingRate: 1.0,
-            estimator.weightCol: "__weight", estimator.seed: seed + tree})
+            estimator.weightCol: "__weight", estimator.seed: seed_offset(seed + tree)})
         drawn = keyed.withColumn("__weight", bag_weight(own, tree, seed)).where("__weight > 0")
         return one.fit(drawn.select(features, label, "__weight")).trees[0]
 
