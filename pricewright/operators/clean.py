@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from pricewright.functions.numeric import drop_nan, parse_double, percent
-from pricewright.operators.profile import describe_long, null_counts
+from pricewright.operators.profile import describe_numeric, null_counts
 from pricewright.sources.tables import presence
 from pricewright.spec import DOUBLE, LONG, STRING, TIME, TableSpec
 
@@ -161,10 +161,10 @@ def bad_row_stats(df: DataFrame, spec: TableSpec) -> DataFrame:
     """``describe`` of the removed values, per bound that removed any."""
     bounds = _bounded(df, spec)
     flagged = _with_range_flags(df.select(*(c for c, _, _ in bounds)), spec).filter("_failed IS NOT NULL")
-    names = F.array(*(F.lit(c) for c, _, _ in bounds))
-    values = F.array(*(F.col(c).cast("double") for c, _, _ in bounds))
-    cells = flagged.select(names[F.col("_failed")].alias("column"), values[F.col("_failed")].alias("value"))
-    stats = describe_long(cells, "column")
+    # a removed row counts for the bound it failed, so each column keeps the values its own bound removed
+    removed = flagged.select(*(F.when(F.col("_failed") == i, F.col(c).cast("double")).alias(c)
+                               for i, (c, _, _) in enumerate(bounds)))
+    stats = describe_numeric(removed, [c for c, _, _ in bounds]).where("count > 0")
     return stats.select("column", "count", *(F.bround(c, 2).alias(c) for c in stats.columns[2:]))
 
 

@@ -7,8 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from pricewright.functions.numeric import percent
-from pricewright.functions.quantiles import exact_quantiles
+from pricewright.functions.numeric import finite, percent
+from pricewright.functions.quantiles import column_quantiles
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -72,15 +72,16 @@ def sample_rows(df: DataFrame, n: int = 5, order: Sequence[str] | None = None) -
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """count, mean, sample std, min, quartiles, max; one row per numeric column."""
+    """count, mean, sample std, min, quartiles, max; one row per numeric column. NaN and infinite values are missing."""
     columns = list(columns or numeric_columns(df))
-    values = df.select(*(F.col(quoted(c)).cast("double").alias(c) for c in columns))
+    values = df.select(*(finite(F.col(quoted(c)).cast("double")).alias(c) for c in columns))
     wide = values.agg(*(agg.alias(f"{name}{i}") for i, c in enumerate(columns) for name, agg in _moments(F.col(quoted(c)))))
     moments = wide.select(F.inline(F.array(*(F.struct(F.lit(c).alias("column"), *(
         F.col(f"{name}{i}").alias(name) for name in ("count", "mean", "std", "min", "max")))
         for i, c in enumerate(columns)))))
-    return _with_quartiles(moments, values.unpivot(
-        [], [F.col(quoted(c)) for c in columns], "column", "value"), "column")
+    quartiles = column_quantiles(values, columns, [0.25, 0.5, 0.75], names=["p25", "p50", "p75"])
+    return (moments.join(F.broadcast(quartiles), "column", "left")
+            .select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
 
 
 def _moments(value: Column) -> list[tuple[str, Column]]:
@@ -88,17 +89,6 @@ def _moments(value: Column) -> list[tuple[str, Column]]:
             ("min", F.min(value)), ("max", F.max(value))]
 
 
-def describe_long(cells: DataFrame, by: str) -> DataFrame:
-    """``describe`` of ``value`` per ``by`` of a long table."""
-    return _with_quartiles(cells.groupBy(by).agg(*(agg.alias(name) for name, agg in _moments(F.col("value")))), cells, by)
-
-
-def _with_quartiles(moments: DataFrame, cells: DataFrame, by: str) -> DataFrame:
-    quartiles = exact_quantiles(cells, "value", [0.25, 0.5, 0.75], [by], names=["p25", "p50", "p75"])
-    return (moments.join(quartiles, by, "left")
-            .select(by, "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
-
-
 def duplicate_count(df: DataFrame) -> DataFrame:
     """Rows equal to an earlier row; NULLs count as equal."""
     copies = df.groupBy(*(F.col(quoted(c)) for c in df.columns)).agg(F.count(F.lit(1)).alias("_n"))

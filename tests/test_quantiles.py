@@ -1,8 +1,10 @@
+import uuid
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pricewright.functions.quantiles import exact_quantiles
+from pricewright.functions.quantiles import column_quantiles, exact_quantiles
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
 
@@ -24,7 +26,7 @@ def got(row):
 ])
 def test_bracketed_selection_is_exact(spark, name, values):
     df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(7)
-    row = exact_quantiles(df, "v", PROBS, accuracy=200).first()
+    row = exact_quantiles(df, "v", PROBS, sketch=200).first()
     np.testing.assert_allclose(got(row), expected(values), rtol=1e-12)
 
 
@@ -32,7 +34,7 @@ def test_bracketed_selection_is_exact(spark, name, values):
 def test_narrowing_and_missed_brackets_are_exact(spark, small, margin):
     values = np.exp(np.random.default_rng(1).normal(0, 4, 20_000))
     df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(7)
-    row = exact_quantiles(df, "v", PROBS, accuracy=200, small=small, margin=margin).first()
+    row = exact_quantiles(df, "v", PROBS, sketch=200, small=small, margin=margin).first()
     np.testing.assert_allclose(got(row), expected(values), rtol=1e-12)
 
 
@@ -43,7 +45,7 @@ def test_groups_of_all_sizes_and_a_null_group(spark):
     df = spark.createDataFrame(rows, "g string, v double").repartition(5)
     for small in (10, 50_000):
         out = {r["g"]: got(r) for r in
-               exact_quantiles(df, "v", PROBS, ["g"], accuracy=200, small=small).collect()}
+               exact_quantiles(df, "v", PROBS, ["g"], sketch=200, small=small).collect()}
         assert set(out) == set(groups)
         for g, values in groups.items():
             np.testing.assert_allclose(out[g], expected(values), rtol=1e-12)
@@ -63,9 +65,9 @@ def test_empty_column_gives_null(spark):
 def test_few_rows_leave_the_second_pass(spark):
     """Values outside the brackets are counted, not carried."""
     from pricewright.functions import quantiles
-    df = spark.range(50_000).select(F.lit(0).alias("_k0"), F.col("id").cast("double").alias("_v"))
-    brackets = quantiles._brackets(df, ["_k0"], [0.5], 1_000, 3.0)
-    counted = quantiles._counted(quantiles._with_row(df, brackets), ["_k0"], 1)
+    df = spark.range(50_000).select(F.lit(0).alias("_k0"), F.col("id").cast("double").alias("_v0"))
+    brackets = quantiles.staged(quantiles._brackets(df, ["_k0"], 1, [0.5], 4_096, 3.0))
+    counted = quantiles._counted(df, brackets, None, ["_k0"], 1, 1)
     assert 0 < counted.count() < 50_000 * 0.02
     assert counted.agg(F.sum("_c")).first()[0] == 50_000
 
@@ -79,3 +81,31 @@ def test_no_task_orders_a_group(spark):
                                   "_k0 int, _t int, _rank long, _from double, _to double, _below long")
     narrowed = quantiles._narrowed(df, state, ["_k0"]).first()
     assert narrowed["_rows"] <= 6 and narrowed["_below"] <= 2_500 < narrowed["_below"] + narrowed["_rows"]
+
+
+def test_columns_of_one_scan(spark):
+    rng = np.random.default_rng(8)
+    values = {"a": rng.normal(0, 1, 4_000), "b": np.round(rng.exponential(5, 4_000)), "c": np.full(4_000, np.nan)}
+    nan, inf = float("nan"), float("inf")
+    rows = [(int(i % 3), *(None if np.isnan(v[i]) else float(v[i]) for v in values.values())) for i in range(4_000)]
+    df = spark.createDataFrame(rows + [(0, nan, inf, nan), (1, None, -inf, None)], "g int, a double, b double, c double")
+    for small in (30, 1_000_000):
+        out = {r["column"]: got(r) for r in column_quantiles(df, ["a", "b", "c"], PROBS, sketch=200, small=small).collect()}
+        assert set(out) == {"a", "b"}
+        for c in out:
+            np.testing.assert_allclose(out[c], expected(values[c]), rtol=1e-12)
+        by = {(r["g"], r["column"]): got(r) for r in
+              column_quantiles(df, ["a", "b", "c"], PROBS, ["g"], sketch=200, small=small).collect()}
+        assert set(by) == {(g, c) for g in range(3) for c in "ab"}
+        for g, c in by:
+            np.testing.assert_allclose(by[g, c], expected(values[c][np.arange(4_000) % 3 == g]), rtol=1e-12)
+
+
+def test_few_jobs_without_groups(spark):
+    df = spark.range(30_000).select(F.sin("id").alias("a"), F.cos("id").alias("b")).repartition(4).cache()
+    df.count()
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "")
+    column_quantiles(df, ["a", "b"], [0.25, 0.5, 0.75])
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) <= 6
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
