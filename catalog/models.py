@@ -13,8 +13,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from catalog.base import SPEC, featured, raw, rounded
+from catalog.evaluate import _errors
 from fixtures.sql import bag_weight, bucket, query, r
-from pricewright.functions.numeric import FOLD_STREAM
+from pricewright.functions.numeric import FOLD_STREAM, TEST_STREAM
 from pricewright.operators import evaluate, features, models, tuning
 from pricewright.plans.retrain_plan import retrain
 from pricewright.plans.train_plan import encode_split, full_refit, train_all
@@ -203,6 +204,28 @@ def retrain_flow(spark, sf):
         .withColumn("residual_std", done.interval.agg(F.max("residual_std").alias("x")).scalar())
 
 
+# A key that any engine reads off the cleaned columns.
+_KEY = "CAST(floor(Base_Fare) AS BIGINT) * 1000 + Days_Before_Departure"
+
+
+def retrain_flow_cabin(spark, sf):
+    """The whole run on one categorical, whose metrics follow from group means of the training side."""
+    done = retrain(null_tokens(raw(spark, sf)), CABIN, new_path(spark, "retrain"), learner="tree",
+                   params={"max_depth": 2}, version="202601010000", key=F.expr(_KEY))
+    return rounded(done.metrics.withColumn("version", F.lit(done.version))
+                   .withColumn("residual_std", done.interval.agg(F.max("residual_std").alias("x")).scalar()), 4)
+
+
+def train_models_cabin(spark, sf):
+    """Search, fit, folds, test metrics and ranking of two learners that both come down to group means."""
+    encoded, prep = design(spark, sf, CABIN)
+    trained = train_all(encoded, prep, CABIN, "rid", learners=("linear", "tree"), spaces={},
+                        grids={"tree": {"max_depth": [1, 2], "min_samples_leaf": [1, 5]}})
+    ranked = evaluate.model_ranking(trained.metrics)
+    return rounded(ranked.withColumn("max_depth", F.when(F.col("model") == "tree", trained.params["tree"]["max_depth"]))
+                   .drop("train_seconds", "log_target"))
+
+
 QUERIES = {
     "fit_linear": _by_group("linear", CABIN, "Class"),
     "fit_ridge": _fit_line("ridge", {"alpha": 1000.0}),
@@ -226,7 +249,9 @@ QUERIES = {
     "save_load_model": save_load_model,
     "versioned_save": versioned_save,
     "train_models": train_models,
+    "train_models_cabin": train_models_cabin,
     "retrain_flow": retrain_flow,
+    "retrain_flow_cabin": retrain_flow_cabin,
 }
 
 _MEANS = "SELECT Class, {p} FROM features {where} GROUP BY Class"
@@ -375,7 +400,21 @@ _COEF = """WITH t AS (SELECT label AS y, (Duration_hrs - md) / sd AS x, (Weekday
   c AS (SELECT 'Duration_hrs' AS feature, rx AS ridge, lx AS lasso FROM w
         UNION ALL SELECT 'Weekday', rv, lv FROM w UNION ALL SELECT 'Constant', 0, 0)"""
 
+_TEST_ERRORS = "p AS (SELECT y, e FROM t JOIN m USING (Class) WHERE is_test)"
+_MEAN_BY_CLASS = "m AS (SELECT Class, avg(y) AS e FROM t WHERE NOT is_test GROUP BY Class)"
+
 ORACLES = {
+    "train_models_cabin": query("features", f"""SELECT * FROM ({_FOLD_R2},
+      c AS (SELECT round_even(avg(r2), 4) AS cv_mean, round_even(stddev_pop(r2), 4) AS cv_std FROM s WHERE held_out),
+      g AS (SELECT Class, avg(label) AS e FROM features WHERE NOT is_test GROUP BY Class),
+      p AS (SELECT label AS y, e FROM features JOIN g USING (Class) WHERE is_test),
+      x AS (SELECT {_errors('y', 'e')} FROM p)
+      SELECT model, x.*, c.*, CAST(rank AS INTEGER) AS rank, CAST(depth AS INTEGER) AS max_depth
+      FROM x, c, (VALUES ('linear', 1, NULL), ('tree', 2, 2)) v(model, rank, depth))"""),
+    "retrain_flow_cabin": query("clean_features", f"""SELECT * FROM (
+      WITH t AS (SELECT Class, ln(1 + Total_Fare) AS y, {bucket(_KEY, 10_000, TEST_STREAM)} < 2000 AS is_test
+                 FROM clean_features), {_MEAN_BY_CLASS}, {_TEST_ERRORS}
+      SELECT {_errors('y', 'e')}, '202601010000' AS version, {r('stddev_pop(exp(y) - exp(e))')} AS residual_std FROM p)"""),
     "fit_linear": query("features", _TRAIN_MEANS),
     "fit_ridge": query("features", f"""SELECT * FROM ({_Z} SELECT {r('syz / (szz + 1000)', 6)} AS slope,
       {r('my - mz * syz / (szz + 1000)', 6)} AS intercept FROM ({_S}))"""),

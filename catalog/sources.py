@@ -43,7 +43,39 @@ def run_log(spark, sf):
     return tables.read_run_log(spark, path)
 
 
+def _careless_folder(spark, sf):
+    """Fares as lines of CSV files: half of them with the columns the other way round, some with a cell too many or too few."""
+    folder = new_path(spark, "careless")
+    rows = fares(spark, sf)
+    for side, names in enumerate((_CARELESS, _CARELESS[::-1])):
+        own = rows.where(F.pmod("rid", F.lit(2)) == side)
+        cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names]
+        line = (F.when(F.pmod("rid", F.lit(31)) == 5, F.concat_ws(",", *cells[:-1]))
+                .when(F.pmod("rid", F.lit(37)) == 3, F.concat_ws(",", *cells, F.lit("extra")))
+                .when(F.pmod("rid", F.lit(41)) == 2, F.concat(F.lit('"'), F.concat_ws(",", *cells)))
+                .otherwise(F.concat_ws(",", *cells)))
+        (own.select(line.alias(",".join(names))).write.mode("append").option("header", True)
+         # a separator and a quote no line holds: each line is written as it is
+         .option("sep", "\u0001").option("quote", "\u0002").csv(folder))
+    return folder
+
+
+_CARELESS = ("rid", "Airline", "Class", "Season")
+
+
+def scan_quarantine(spark, sf):
+    """Refused rows per reason, and the accepted ones with a digest of each column."""
+    folder, refused = _careless_folder(spark, sf), new_path(spark, "refused")
+    taken = tables.scan_quarantined(spark, folder, refused, limit=0.2)
+    accepted = taken.agg(F.lit("accepted").alias("reason"), F.count(F.lit(1)).alias("rows"),
+                         F.sum(F.col("rid").cast("bigint") % 1_000_003).alias("rids"),
+                         F.count_distinct("Airline").alias("airlines"), F.min("Class").alias("class"),
+                         F.max("Season").alias("season"))
+    return accepted.unionByName(tables.refused_counts(spark.read.parquet(refused)), allowMissingColumns=True)
+
+
 QUERIES = {
+    "scan_quarantine": scan_quarantine,
     "scan_csv": scan_csv,
     "header_gate": lambda s, d: tables.header_gate(raw(s, d), SPEC.raw_required + ("Gate",)),
     "min_fare_gate": lambda s, d: tables.min_value_gate(raw(s, d), "Base Fare (BDT)", SPEC.min_base),
@@ -63,6 +95,12 @@ _AUDIT = """
   GROUP BY "column", unexpected_val, expected_set"""
 
 ORACLES = {
+    "scan_quarantine": query("fares", """SELECT * FROM (
+      WITH c AS (SELECT *, CASE WHEN rid % 31 = 5 THEN 'too few cells' WHEN rid % 37 = 3 THEN 'too many cells'
+                   WHEN rid % 41 = 2 THEN 'open quote' ELSE 'accepted' END AS reason FROM fares)
+      SELECT reason, count(*) AS rows, CAST(sum(rid % 1000003) AS BIGINT) AS rids, count(DISTINCT Airline) AS airlines,
+        min(Class) AS class, max(Season) AS season FROM c WHERE reason = 'accepted' GROUP BY reason
+      UNION ALL SELECT reason, count(*), NULL, NULL, NULL, NULL FROM c WHERE reason <> 'accepted' GROUP BY reason)"""),
     "scan_csv": query("typed", f"SELECT {_DATED} FROM typed"),
     "header_gate": query("dirty", " UNION ALL ".join(
         [f"""SELECT '{c}' AS "column", true AS present, count({SPEC.rename.get(c, c)}) AS rows FROM dirty"""

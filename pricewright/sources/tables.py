@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -36,6 +37,75 @@ def scan_csv(spark: SparkSession, path: str, *, hint: str = "", multi_line: bool
     return null_tokens(raw)
 
 
+#: columns of the table of refused rows
+REFUSED = ("file", "reason", "raw")
+_RAW = "__refused_row"
+
+
+class TooManyRefused(ValueError):
+    """More rows were refused than the gate allows; they have been written."""
+
+
+def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files by header line. The first line of a file is the first of the piece that starts at its beginning."""
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    first = lines.where("file_block_start = 0").withColumn("n", F.monotonically_increasing_id()).groupBy(
+        "file_path").agg(F.min_by("value", "n").alias("header"))
+    return {r["header"]: r["files"] for r in first.groupBy("header").agg(
+        F.sort_array(F.collect_list("file_path")).alias("files")).collect()}
+
+
+def _refusal(raw: Column, width: int) -> Column:
+    """Why a line is no row: an open quote, or more or fewer cells than its header."""
+    cells = F.length(F.regexp_replace(F.regexp_replace(raw, '"[^"]*"', ""), "[^,]", "")) + 1
+    odd = F.length(F.regexp_replace(raw, '[^"]', "")) % 2 == 1
+    return F.when(odd, "open quote").when(cells > width, "too many cells").when(
+        cells < width, "too few cells").otherwise("malformed")
+
+
+def scan_quarantined(spark: SparkSession, path: str, refused: str, *, limit: float = 0.05, hint: str = "") -> DataFrame:
+    """Header CSV as text columns, by name; rows that are none go to the table ``refused`` instead of stopping the job.
+
+    Files of a folder may order their columns differently or lack some, which are then NULL. ``refused`` gets
+    file, reason and the line as it stands (Parquet, overwritten). More than ``limit`` refused
+    of all rows raise ``TooManyRefused`` once they are written. Line breaks inside quotes are not read here,
+    see ``scan_csv``. One pass reads the headers, one writes the refused rows and counts them.
+    """
+    try:
+        headers = _headers(spark, path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error):
+            raise FileNotFoundError(f"no data at '{path}'. {hint}".strip()) from error
+        raise
+    parts = []
+    for header, files in sorted(headers.items()):
+        # Spark splits the header line itself: quotes, blanks and repeated names are as in any other file
+        names = spark.read.csv(files[0], header=True, quote='"', escape='"').columns
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _RAW]])
+        # all cells are parsed whatever is asked for, or a ragged row would pass; and Spark refuses a plan that
+        # asks for nothing but the refused line, so it takes an empty piece of a cell along
+        rows = spark.read.schema(schema).option("columnPruning", False).csv(
+            files, header=True, quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord=_RAW)
+        line = F.concat(F.col(_RAW), F.left(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")), F.lit(0)))
+        parts.append(rows.select(*(F.col(f"`{c}`") for c in names), line.alias(_RAW), F.col("_metadata.file_path").alias("__file"),
+                                 F.lit(len(names)).alias("__width")))
+    if not parts:
+        raise ValueError(f"'{path}' holds no file with a header")
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    bad = whole.where(F.col(_RAW).isNotNull()).select(
+        F.col("__file").alias("file"), _refusal(F.col(_RAW), F.col("__width")).alias("reason"), F.col(_RAW).alias("raw"))
+    bad.write.mode("overwrite").parquet(refused)
+    total, lost = whole.agg(F.count(F.lit(1)), F.count(_RAW)).first()
+    if lost > limit * total:
+        raise TooManyRefused(f"{lost} of {total} rows of '{path}' are no rows; see '{refused}'")
+    return null_tokens(whole.where(F.col(_RAW).isNull()).drop(_RAW, "__file", "__width"))
+
+
+def refused_counts(refused: DataFrame) -> DataFrame:
+    """Refused rows per reason."""
+    return refused.groupBy("reason").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "reason")
+
+
 def null_tokens(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
     """Replace the missing-value texts of every text column by NULL."""
     def clean(field: T.StructField) -> Column:

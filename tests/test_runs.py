@@ -13,6 +13,7 @@ from pricewright.plans.retrain_plan import retrain
 from pricewright.plans.train_plan import encode_split, train_all
 from pricewright.sources import artifacts, tables
 from pricewright.spec import AIRFARES
+from pricewright.staging import in_parallel
 from pricewright.streaming.score_stream import request_stream, score_stream
 
 SF = "/root/testdata/sf0.001"
@@ -30,6 +31,51 @@ def test_csv_tokens_quotes_and_missing_path(spark, tmp_path):
         tables.scan_csv(spark, str(tmp_path / "none.csv"), hint="get the data first")
 
 
+def test_refused_rows_are_set_aside_and_columns_read_by_name(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text('x,"y, z",w\n1,one,NA\n2,two\n3,three,c,d\n4,"fo""ur",\n5,"open,e\n')
+    (folder / "b.csv").write_text('w,x\nf,6\n\n,7\n')
+    refused = str(tmp_path / "refused")
+    got = tables.scan_quarantined(spark, str(folder), refused, limit=0.5)
+    assert {tuple(r[c] for c in ("x", "y, z", "w")) for r in got.collect()} == {
+        ("1", "one", None), ("4", 'fo"ur', None), ("6", None, "f"), ("7", None, None)}
+    bad = spark.read.parquet(refused)
+    assert {(r["reason"], r["raw"]) for r in bad.collect()} == {
+        ("too few cells", "2,two"), ("too many cells", "3,three,c,d"), ("open quote", '5,"open,e')}
+    assert all(r["file"].endswith("a.csv") for r in bad.collect())
+    with pytest.raises(tables.TooManyRefused, match="3 of 7"):
+        tables.scan_quarantined(spark, str(folder), refused, limit=0.1)
+    assert spark.read.parquet(refused).count() == 3
+    with pytest.raises(FileNotFoundError, match="no data"):
+        tables.scan_quarantined(spark, str(tmp_path / "none"), refused)
+
+
+def test_one_of_two_writers_of_a_version_wins(spark, tmp_path):
+    frame = spark.createDataFrame([(1.0, 1.0), (2.0, 3.0)], "v double, label double")
+    prep = features.preprocess(frame, replace(AIRFARES, categorical=(), numeric=("v",)))
+    encoded, root = prep.transform(frame), str(tmp_path / "models")
+    pipelines = [PipelineModel(stages=[*prep.stages, models.fit("ridge", {"alpha": a}, encoded)]) for a in (0.001, 1e6)]
+
+    def save(which):
+        try:
+            artifacts.save_version(pipelines[which], root, "202601010000", spark, learner=f"writer {which}")
+            return which
+        except FileExistsError:
+            return None
+
+    won = [w for w in in_parallel(spark, [lambda: save(0), lambda: save(1)], 2) if w is not None]
+    assert len(won) == 1 and artifacts.current_learner(root, spark)[0] == f"writer {won[0]}"
+    served = artifacts.load_version(root, spark).transform(frame).agg(F.max("prediction") - F.min("prediction")).first()[0]
+    assert (served > 1.9) == (won[0] == 0)
+    # a writer that died after its claim leaves the old version current
+    artifacts.claim(f"{root}/claims/202601020000", spark)
+    with pytest.raises(FileExistsError):
+        artifacts.save_version(pipelines[0], root, "202601020000", spark)
+    assert artifacts.current_version(root, spark) == "202601010000"
+    assert not (tmp_path / "models" / "v=202601020000").exists()
+
+
 def test_gates(spark):
     df = spark.createDataFrame([("499.9",), ("x",), (None,)], "`Base Fare (BDT)` string")
     with pytest.raises(ValueError, match="Airline"):
