@@ -63,6 +63,8 @@ QUERIES = {
     "normalise_labels": normalise_labels,
     "drop_duplicates": lambda s, d: dated(clean.drop_duplicates(
         clean.normalise_labels(in_range(s, d), SPEC))),
+    "drop_duplicates_digest": lambda s, d: dated(clean.drop_duplicates_by_digest(
+        clean.normalise_labels(in_range(s, d), SPEC))),
     "missing_audit": lambda s, d: impute.missing_audit(unique(s, d), SPEC),
     "impute_median": lambda s, d: impute.impute_median(
         unique(s, d).select("Tax_Surcharge", "Duration_hrs", "Base_Fare"), "Tax_Surcharge", "Duration_hrs"),
@@ -133,6 +135,7 @@ ORACLES = {
       SELECT CASE Class WHEN 'First Class' THEN 'First' ELSE Class END AS Class, count(*) AS rows,
         count(*) FILTER (Class = 'First Class') AS n_changed FROM in_range GROUP BY 1"""),
     "drop_duplicates": query("uniq", f"SELECT {_DATED} FROM uniq"),
+    "drop_duplicates_digest": query("uniq", f"SELECT {_DATED} FROM uniq"),
     "missing_audit": query("uniq", " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", '{_TYPES.get(c, 'string')}' AS dtype, count(*) - count({c}) AS null_count,
         round_even(100.0 * (count(*) - count({c})) / count(*), 3) AS null_pct,

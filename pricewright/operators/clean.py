@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from pricewright.functions.numeric import drop_nan, parse_double, percent
 from pricewright.operators.profile import describe_numeric, null_counts
 from pricewright.sources.tables import presence
+from pricewright.staging import staged
 from pricewright.spec import DOUBLE, LONG, STRING, TIME, TableSpec
 
 
@@ -219,6 +220,41 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+_DIGEST = ("__digest_a", "__digest_b")
+
+
+def _digested(df: DataFrame) -> DataFrame:
+    """The rows with 128 bits over all cells; which cells are NULL counts too, as the hash passes over them."""
+    cells = [F.col(f"`{c}`") for c in df.columns]
+    nulls = [c.isNull() for c in cells]
+    return df.withColumns({name: F.xxhash64(F.lit(i), *cells, *nulls) for i, name in enumerate(_DIGEST)})
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    """Digests that stand in several rows, written so that their size decides how they are joined."""
+    return staged(rows.groupBy(*_DIGEST).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(*_DIGEST), "repeated")
+
+
+def drop_duplicates_by_digest(df: DataFrame) -> DataFrame:
+    """Whole-row distinct for wide tables of mostly different rows that are cheap to read again.
+
+    Sixteen bytes a row are shuffled to find digests that repeat; only rows with such a digest move, and
+    are told apart by value. All others stay where they are.
+    """
+    rows = _digested(df)
+    repeated = _repeated(rows)
+    alone = rows.join(repeated, list(_DIGEST), "left_anti").drop(*_DIGEST)
+    return alone.unionByName(rows.join(repeated, list(_DIGEST), "left_semi").drop(*_DIGEST).dropDuplicates())
+
+
+def duplicate_count_by_digest(df: DataFrame) -> DataFrame:
+    """Rows equal to an earlier row; cells of rows whose digest does not repeat are not shuffled."""
+    rows = _digested(df)
+    suspects = rows.join(_repeated(rows), list(_DIGEST), "left_semi").drop(*_DIGEST)
+    copies = suspects.groupBy(*(F.col(f"`{c}`") for c in df.columns)).agg(F.count(F.lit(1)).alias("_n"))
+    return copies.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"))
+
+
 def min_base_filter(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Drop rows priced under the minimum and recompute the total.
 

@@ -32,7 +32,9 @@ def clean_run(raw: DataFrame, spec: TableSpec, *, reports: bool = True) -> Clean
         typed = staged(typed, "typed")
     in_range = clean.range_filter(typed, spec)
     # the audit precedes relabelling on purpose: it reports the raw labels
-    unique = staged(clean.drop_duplicates(clean.normalise_labels(in_range, spec)), "unique")
+    # a written table is cheap to read again, so only digests and rows that may repeat are shuffled
+    distinct = clean.drop_duplicates_by_digest if reports else clean.drop_duplicates
+    unique = staged(distinct(clean.normalise_labels(in_range, spec)), "unique")
     frame = clean.min_base_filter(impute.impute_config(unique, spec), spec)
     return Cleaned(frame, {} if not reports else {
         "validation_dtypes": clean.dtype_report(renamed, typed, spec),

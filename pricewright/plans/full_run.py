@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
@@ -14,7 +15,7 @@ from pricewright.plans.explore_plan import explore_run
 from pricewright.plans.train_plan import Trained, encode_split, full_refit, train_all
 from pricewright.sources import artifacts, tables
 from pricewright.spec import TableSpec
-from pricewright.staging import staged
+from pricewright.staging import Stages, source_fingerprint, staged
 
 
 @dataclass(frozen=True)
@@ -54,21 +55,29 @@ def evaluation_run(trained: Trained, encoded: DataFrame, spec: TableSpec, key: s
 
 
 def full_run(raw: DataFrame, spec: TableSpec, root: str, *, explore: bool = True,
-             version: str | None = None, **training: Mapping) -> Finished:
+             version: str | None = None, resume: str | None = None, **training: Mapping) -> Finished:
     """Clean, explore, tune and compare all learners, refit the best on all rows, save it.
 
+    With a ``resume`` folder the cleaned, derived and encoded tables and the preprocessor are kept there under a
+    fingerprint of the input files and the spec: a run that died is started again and goes on behind the last
+    of them, a changed input or spec starts over.
     ``training`` goes to ``train_all``: learners, grids, spaces, n_iter, params.
     """
     spark = raw.sparkSession
-    cleaned = clean_run(raw, spec)
-    complete = impute.assert_no_nulls(staged(cleaned.frame, "clean"))
-    derived = staged(features.row_key(features.derive_features(complete, spec)), "features")
+    cleaned = cache(lambda: clean_run(raw, spec))
+    stages = Stages(spark, resume, source_fingerprint(raw, spec, raw.schema.simpleString())) if resume else None
+    keep = stages.table if stages else (lambda label, build: staged(build(), label))
+    complete = keep("clean", lambda: impute.assert_no_nulls(staged(cleaned().frame, "clean")))
+    derived = keep("features", lambda: features.row_key(features.derive_features(complete, spec)))
     profiled = {"profile_columns": profile.profile_columns(raw, approximate=True)}
-    paths = tables.write_reports(profiled | cleaned.reports, f"{root}/reports")
+    paths = tables.write_reports(profiled | cleaned().reports, f"{root}/reports") if not (
+        stages and stages.done("reports")) else []
+    if stages:
+        stages.mark("reports")
     if explore:
         paths += tables.write_reports(explore_run(derived, spec), f"{root}/explore")
 
-    encoded, preprocessor = encode_split(derived, spec, "row_key")
+    encoded, preprocessor = encode_split(derived, spec, "row_key", stages)
     trained = train_all(encoded, preprocessor, spec, "row_key", **training)
     paths += tables.write_reports(evaluation_run(trained, encoded, spec, "row_key"), f"{root}/reports")
 

@@ -7,6 +7,7 @@ its size is known, a large one is not.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import tempfile
 import uuid
@@ -14,6 +15,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
@@ -69,3 +71,60 @@ def in_parallel(spark: SparkSession, tasks: Sequence[Callable], parallelism: int
     in_session = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         return [f.result() for f in [pool.submit(in_session(t)) for t in tasks]]
+
+
+def source_fingerprint(df: DataFrame, *facts: object) -> str:
+    """Digest of the files a table is read from (path, length, time of change) and of whatever else decides a stage."""
+    spark = df.sparkSession
+    files = sorted(df.inputFiles())
+    if not files:
+        raise ValueError("only a table that is read from files can be told from another one")
+    digest = hashlib.sha256(repr(facts).encode())
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    listed: dict[str, dict[str, tuple[int, int]]] = {}
+    for file in files:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        folder = path.getParent().toString()
+        if folder not in listed:
+            listed[folder] = {s.getPath().getName(): (s.getLen(), s.getModificationTime())
+                              for s in path.getFileSystem(conf).listStatus(path.getParent())}
+        digest.update(f"{file} {listed[folder].get(path.getName())}\n".encode())
+    return digest.hexdigest()[:24]
+
+
+class Stages:
+    """Stage tables and models that outlive the run, so that a run that died goes on behind its last finished stage.
+
+    A stage is kept under its label and the fingerprint of everything that decides it. It is written to a folder of the
+    writer's own and moved into place whole; what has a name is therefore finished.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, fingerprint: str):
+        self.spark, self.folder, self.fingerprint = spark, folder.rstrip("/"), fingerprint
+
+    def _kept(self, label: str, write: Callable[[str], None]) -> str:
+        path = f"{self.folder}/{label}-{self.fingerprint}"
+        place = lambda p: self.spark._jvm.org.apache.hadoop.fs.Path(p)
+        files = place(path).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not files.exists(place(path)):
+            own = f"{self.folder}/_unfinished/{label}-{uuid.uuid4().hex}"
+            write(own)
+            # another run may have finished the same stage meanwhile: theirs is as good
+            if not files.rename(place(own), place(path)) and not files.exists(place(path)):
+                raise OSError(f"'{own}' could not be moved to '{path}'")
+        return path
+
+    def done(self, label: str) -> bool:
+        """Was the label marked by an earlier run of the same input."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{label}-{self.fingerprint}")
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+    def mark(self, label: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{label}-{self.fingerprint}")
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+
+    def table(self, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return self.spark.read.parquet(self._kept(label, lambda path: build().write.parquet(path)))
+
+    def model(self, label: str, build: Callable[[], PipelineModel]) -> PipelineModel:
+        return PipelineModel.load(self._kept(label, lambda path: build().write().save(path)))

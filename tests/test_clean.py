@@ -131,3 +131,16 @@ def test_operators_work_on_another_table(spark):
     holes = events.withColumn("value", F.when(F.col("event_id") % 10 != 0, F.col("value")))
     filled = impute.impute_config(holes, spec)
     assert filled.filter("value IS NULL").count() == 0
+
+
+def test_duplicates_by_digest_are_those_by_value(spark):
+    rows = [(1, None, "a", 0.0), (1, "a", None, 0.0), (1, None, "a", -0.0), (2, "x", "y", float("nan")),
+            (2, "x", "y", float("nan")), (3, None, None, None), (3, None, None, None), (4, "p", "q", 1.0)]
+    df = spark.createDataFrame(rows * 2 + [(k, "u", str(k), 1.0) for k in range(10, 400)],
+                               "id int, `a b` string, c string, v double").repartition(5)
+    ours, theirs = clean.drop_duplicates_by_digest(df), df.dropDuplicates()
+    assert ours.columns == df.columns and ours.count() == theirs.count() == 395
+    assert ours.exceptAll(theirs).count() == 0
+    assert clean.duplicate_count_by_digest(df).first()["duplicates"] == profile.duplicate_count(df).first()["duplicates"] == 11
+    assert clean.drop_duplicates_by_digest(df.limit(0)).count() == 0
+    assert clean.duplicate_count_by_digest(df.limit(0)).first()["duplicates"] == 0

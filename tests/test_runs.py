@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from catalog import base
 from pricewright.operators import evaluate, features, models, score
 from pricewright.plans.retrain_plan import retrain
+from pricewright.plans.score_plan import score_requests
 from pricewright.plans.train_plan import encode_split, train_all
 from pricewright.sources import artifacts, tables
 from pricewright.spec import AIRFARES
 from pricewright.staging import in_parallel
-from pricewright.streaming.score_stream import request_stream, score_stream
+from pricewright.streaming.score_stream import csv_requests, follow_stream, request_stream, score_stream
 
 SF = "/root/testdata/sf0.001"
 SMALL = replace(AIRFARES, categorical=("Class", "Season"), numeric=("Duration_hrs",))
@@ -289,3 +290,76 @@ def test_raw_target_keeps_one_scale(spark):
     assert row["r2_log"] == row["r2_currency"] > 0.5 and not row["log_target"]
     scored = score.score_batch(base.fares(spark, SF).select(*REQUEST), trained.pipeline("ridge"), spec)
     assert 10_000 < scored.agg(F.avg("predicted_fare")).first()[0] < 200_000
+
+
+def test_a_run_that_died_goes_on_behind_its_last_stage(spark, tmp_path, monkeypatch):
+    from pricewright.plans import full_run as plan
+    source, root, kept = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "stages")
+    base.raw(spark, SF).write.option("header", True).option("escape", '"').csv(source)
+    training = dict(learners=("ridge",), params={"ridge": {"alpha": 1.0}}, explore=False, resume=kept)
+    steps = []
+
+    def watched(name, real):
+        def run(*a, **k):
+            steps.append(name)
+            return real(*a, **k)
+        monkeypatch.setattr(plan, name, run)
+    watched("clean_run", plan.clean_run)
+    real = plan.encode_split
+
+    def dies(*a, **k):
+        raise RuntimeError("killed")
+    monkeypatch.setattr(plan, "encode_split", dies)
+    with pytest.raises(RuntimeError, match="killed"):
+        plan.full_run(tables.scan_csv(spark, source), SMALL, root, **training)
+    assert steps == ["clean_run"]
+    monkeypatch.setattr(plan, "encode_split", real)
+    done = plan.full_run(tables.scan_csv(spark, source), SMALL, root, version="202601010000", **training)
+    assert steps == ["clean_run"] and done.best == "ridge"
+    # the encoded table and the preprocessor are there now, too
+    monkeypatch.setattr(features, "preprocess", dies)
+    again = plan.full_run(tables.scan_csv(spark, source), SMALL, root, version="202601020000", **training)
+    assert again.trained.metrics.drop("train_seconds").collect() == done.trained.metrics.drop("train_seconds").collect()
+    # another input or another spec starts over
+    base.raw(spark, SF).limit(50).write.mode("append").option("header", True).option("escape", '"').csv(source)
+    with pytest.raises(RuntimeError, match="killed"):
+        plan.full_run(tables.scan_csv(spark, source), SMALL, root, version="202601030000", **training)
+    with pytest.raises(RuntimeError, match="killed"):
+        plan.full_run(tables.scan_csv(spark, source), replace(SMALL, seed=7), root, version="202601040000", **training)
+    assert steps == ["clean_run"] * 3
+    with pytest.raises(ValueError, match="read from files"):
+        plan.full_run(spark.range(3).toDF("a"), SMALL, root, **training)
+
+
+def test_the_stream_follows_the_served_version(spark, pipeline, tmp_path):
+    requests = base.fares(spark, SF).select(*REQUEST).withColumn("Days_Before_Departure", F.lit(5))
+    root, arriving, target, progress = (str(tmp_path / n) for n in ("models", "arriving", "followed", "progress"))
+    doubled = PipelineModel(stages=[*pipeline.stages[:-1], models.fit(
+        "ridge", {"alpha": 1e7}, PipelineModel(stages=pipeline.stages[:-1]).transform(
+            features.log_target(features.derive_features(base.fares(spark, SF), SMALL), SMALL)))])
+    text = requests.select(*(F.col(c).cast("string").alias(c) for c in requests.columns))
+
+    def arrive(rows):
+        rows.coalesce(1).write.mode("append").option("header", True).csv(arriving)
+        follow_stream(csv_requests(spark, arriving), SMALL, root, target, progress).awaitTermination()
+        return spark.read.parquet(f"{target}/scored")
+
+    artifacts.save_version(pipeline, root, "1", spark)
+    first = text.where("rid % 3 = 0")
+    assert {r["version"] for r in arrive(first).select("version").distinct().collect()} == {"1"}
+    artifacts.save_version(doubled, root, "2", spark)
+    second = text.where("rid % 3 = 1").withColumn("Duration_hrs", F.when(F.col("rid").cast("long") % 2 == 0, F.col("Duration_hrs")))
+    scored = arrive(second)
+    counts = {r["version"]: r["count"] for r in scored.groupBy("version").count().collect()}
+    refused = spark.read.parquet(f"{target}/refused")
+    assert counts["1"] == first.count() and counts["2"] + refused.count() == second.count()
+    assert {r["missing_inputs"] for r in refused.select("missing_inputs").distinct().collect()} == {"Duration_hrs"}
+    batch = score_requests(first, SMALL, root, "1").agg(F.sum("predicted_fare")).first()[0]
+    assert abs(scored.where("version = '1'").agg(F.sum("predicted_fare")).first()[0] - batch) < 1e-3
+    # the last batch is run again after a lost commit: no row is added
+    before = scored.count()
+    commits = sorted((tmp_path / "progress" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    for file in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
+        file.unlink(missing_ok=True)
+    follow_stream(csv_requests(spark, arriving), SMALL, root, target, progress).awaitTermination()
+    assert spark.read.parquet(f"{target}/scored").count() == before
