@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import defaultdict
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -42,12 +42,19 @@ FRAME = frozenset("""above after area article articles bar before below block bl
     row secondary section site sticky stories story sub text thread title top upper widgets wp wrap wrapper""".split())
 CONTENT = frozenset("article body content entry main page post story text".split())
 NEGATING = frozenset("has hide no not with without".split())
+ADVERT = frozenset("""ad ads adsense adv advert advertisement adverts advertising adsbygoogle outbrain promo promoted
+    promotion sponsor sponsored taboola""".split())
 ARTICLE_MARKS = frozenset("comment comments reply ad related promo".split())
 ROLES = frozenset("""alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search
     toolbar""".split())
 
+CONTAINERS = frozenset("div section article main body td".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+PLAIN = frozenset("p blockquote pre".split())
+LISTS = frozenset("ul ol div section table".split())
+
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""",
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/<>]*)((?:"[^"]*"|'[^']*'|[^<>"'])*+)>|<(/?)([a-zA-Z][^\s/<>]*)([^<>]*)>""",
     re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAME = re.compile(r"[a-z]+")
@@ -62,20 +69,29 @@ PROSE, BULK, TIMES = 0.25, 250, 5
 DOUBTED, NAMED, SURE = 1, 2, 3
 
 
+def _attributes(raw: str) -> dict[str, str]:
+    return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(raw)}
+
+
+def _names(found: dict[str, str]) -> list[set[str]]:
+    """The parts of each name of class and id."""
+    return [set(_NAME.findall(_HUMP.sub(" ", name).lower()))
+            for name in f"{found.get('class', '')} {found.get('id', '')}".split()]
+
+
 def _doubt(tag: str, raw: str) -> int:
     if tag in CUT:
         return SURE
     if not raw or tag in ("html", "body"):
         return 0
-    found = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(raw)}
+    found = _attributes(raw)
     if "hidden" in found or found.get("aria-hidden") == "true" or _HIDDEN.search(found.get("style", "")):
         return SURE
     if found.get("role", "").lower() in ROLES:
         return SURE
     if tag == "main":
         return 0
-    names = [set(_NAME.findall(_HUMP.sub(" ", name).lower()))
-             for name in f"{found.get('class', '')} {found.get('id', '')}".split()]
+    names = _names(found)
     if tag != "article" and any(len(parts) == 1 and parts <= CONTENT for parts in names):
         return 0
     marks = ARTICLE_MARKS if tag == "article" else BOILERPLATE
@@ -92,6 +108,7 @@ class Page:
         self.tags, self.parents, self.cut = ["#page"], [-1], [0]
         self.blocks: list[tuple[int, str, int]] = []
         self._open, self._text, self._linked, self._muted = [0], [], 0, 0
+        self._named = Counter()  # open elements by tag
         self._parse(source)
 
     def _flush(self) -> None:
@@ -113,6 +130,7 @@ class Page:
         if any(self.tags[e] in BLOCK for e in self._open[keep:]):
             self._flush()
         self._muted -= sum(self._is_muted(e) for e in self._open[keep:])
+        self._named.subtract(self.tags[e] for e in self._open[keep:])
         del self._open[keep:]
 
     def _is_muted(self, e: int) -> bool:
@@ -138,19 +156,26 @@ class Page:
         above = self._open[-1]
         self.tags.append(tag)
         self.parents.append(above)
-        self.cut.append(_doubt(tag, raw))
+        doubt = _doubt(tag, raw)
+        if doubt in (DOUBTED, NAMED) and tag not in BLOCK and any(not t.isspace() for t in self._text):
+            # a sentence goes on: only an advert's name on a few words of it says anything
+            doubt = NAMED if not ADVERT.isdisjoint(set().union(*_names(_attributes(raw)))) else 0
+        self.cut.append(doubt)
         self._open.append(len(self.tags) - 1)
+        self._named[tag] += 1
         self._muted += self._is_muted(len(self.tags) - 1)
 
     def _end(self, tag: str) -> None:
+        if not self._named[tag]:
+            return
         for k in range(len(self._open) - 1, 0, -1):
             if self.tags[self._open[k]] == tag:
                 self._close(k)
                 return
 
     def _parse(self, source: str) -> None:
-        at = 0
-        while found := _TOKEN.search(source, at):
+        at, last = 0, source.rfind(">") + 1  # nothing behind the last ">" can be a tag
+        while found := _TOKEN.search(source, at, last):
             self._say(source[at:found.start()])
             at = found.end()
             tag = (found[2] or found[5] or "").lower()
@@ -162,7 +187,7 @@ class Page:
             raw = found[3] or found[6] or ""
             self._start(tag, raw)
             if tag in RAW:
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at)
+                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at, last)
                 at = end.end() if end else len(source)
                 self._end(tag)
         self._say(source[at:])
@@ -173,19 +198,18 @@ def _spared(page: Page) -> set[int]:
     """Candidates that stay: doubted ones with prose, named ones that hold nearly all prose of the page."""
     if not any(c in (DOUBTED, NAMED) for c in page.cut):
         return set()
-    size, linked, prose = defaultdict(int), defaultdict(int), defaultdict(int)
+    size, linked, prose = ([0] * len(page.tags) for _ in range(3))
     for owner, text, in_links in page.blocks:
-        e = owner
-        while e >= 0:
-            size[e] += len(text)
-            linked[e] += in_links
-            prose[e] += len(text) if len(text) >= SHORT else 0
-            if page.cut[e] >= NAMED:
-                break
-            e = page.parents[e]
+        size[owner] += len(text)
+        linked[owner] += in_links
+        prose[owner] += len(text) if len(text) >= SHORT else 0
+    for e in range(len(page.tags) - 1, 0, -1):  # children come after their parents
+        if page.cut[e] < NAMED:
+            for sums in (size, linked, prose):
+                sums[page.parents[e]] += sums[e]
     told = any(t in ("article", "main") and not c for t, c in zip(page.tags, page.cut))
     out = set()
-    for e in size:
+    for e in range(len(page.tags)):
         if prose[e] and linked[e] < PROSE * size[e]:
             bulk = prose[e] >= BULK and prose[e] > TIMES * prose[0] and not told and page.tags[e] != "article"
             if page.cut[e] == DOUBTED or page.cut[e] == NAMED and bulk:
@@ -204,7 +228,8 @@ def _visible(page: Page) -> list[bool]:
                 k = page.parents[k]
     out = []
     for e, tag in enumerate(page.tags):
-        own = not page.cut[e] or e in spared or (e in holds and tag not in CUT)
+        # some pages are one form as a whole
+        own = not page.cut[e] or e in spared or (e in holds and (tag not in CUT or tag == "form"))
         out.append(own and (page.parents[e] < 0 or out[page.parents[e]]))
     return out
 
@@ -218,21 +243,26 @@ def main_text(source: str | None) -> str:
     blocks = [b for b in page.blocks if shown[b[0]]]
     if not blocks:
         return ""
-    points, size, linked = defaultdict(float), defaultdict(int), defaultdict(int)
+    total = len(page.tags)
+    points, size, linked, passed = [0.0] * total, [0] * total, [0] * total, [0.0] * total
     for owner, text, in_links in blocks:
-        worth = 1 + text.count(",") + min(len(text) / 100, 3) if len(text) >= SHORT else 0
-        container = page.parents[owner] if page.tags[owner] not in ("div", "section", "article", "main", "body", "td") else owner
-        e, level = owner, 0
-        while e >= 0:
-            size[e] += len(text)
-            linked[e] += in_links
-            if worth and (e == container or level):
-                level += 1
-                points[e] += worth / (1 if level == 1 else 2 if level == 2 else 3 * (level - 1))
-            e = page.parents[e]
-    density = {e: linked[e] / size[e] for e in size}
-    score = {e: (p + (25 if page.tags[e] in ("article", "main") else 0)) * (1 - density[e]) for e, p in points.items()}
-    articles = [e for e in size if page.tags[e] in ("article", "main")]
+        size[owner] += len(text)
+        linked[owner] += in_links
+        if len(text) >= SHORT:
+            container = owner if page.tags[owner] in CONTAINERS else max(page.parents[owner], 0)
+            passed[container] += 1 + text.count(",") + min(len(text) / 100, 3)
+    for e in range(total - 1, -1, -1):  # children come after their parents: one pass sums up the tree
+        points[e] += passed[e]
+        if e:
+            above = page.parents[e]
+            size[above] += size[e]
+            linked[above] += linked[e]
+            passed[above] += passed[e] / 2  # half of what it got, own paragraphs and lower levels' shares alike
+    filled = [e for e in range(total) if size[e]]
+    density = {e: linked[e] / size[e] for e in filled}
+    score = {e: (points[e] + (25 if page.tags[e] in ("article", "main") else 0)) * (1 - density[e])
+             for e in filled if points[e]}
+    articles = [e for e in filled if page.tags[e] in ("article", "main")]
     if score:
         best = max(score, key=lambda e: (score[e], -e))
     else:
@@ -243,23 +273,38 @@ def main_text(source: str | None) -> str:
             best = up
             break
         up = page.parents[up]
+    whole = page.tags[best] in ("article", "main")
     kept = {best}
     if page.tags[best] not in ("main", "body", "html", "#page"):
         bar = max(10.0, 0.2 * score.get(best, 0.0))
-        for e in size:
-            if e != best and page.parents[e] == page.parents[best]:
-                prose = page.tags[e] == "p" and size[e] > 80 and density[e] < 0.25
-                if prose or score.get(e, 0.0) >= bar:
-                    kept.add(e)
-    whole = page.tags[best] in ("article", "main")
-    lines = []
-    for owner, text, _ in blocks:
-        e, inside, menu = owner, False, False
-        while e >= 0 and not inside:
-            menu |= not whole and page.tags[e] in ("ul", "ol", "div", "section", "table") and e not in kept and density[e] > MENU
-            inside = e in kept
-            e = page.parents[e]
-        if inside and not menu:
+        above = {page.parents[best]}
+        while (up := page.parents[max(above)] if max(above) > 0 else -1) >= 0 and up not in above and not whole:
+            above = above | {up}
+            if up == 0:
+                break
+        for e in filled:
+            if e == best or page.parents[e] not in above:
+                continue
+            sibling = page.parents[e] == page.parents[best]
+            if page.tags[e] in HEADINGS:
+                # a headline stands above its text, beside it or beside what holds it
+                keep = not whole and density[e] < PROSE and (sibling or e < best)
+            elif page.tags[e] in PLAIN:
+                keep = sibling and density[e] < PROSE and (not whole or size[e] > 80)
+            else:
+                keep = sibling and score.get(e, 0.0) >= bar
+            if keep:
+                kept.add(e)
+    first = min((k for k, (owner, text, _) in enumerate(blocks) if len(text) >= SHORT and density[owner] < PROSE), default=0)
+    # from the top: inside a kept element or not, inside a list of links that stands before all prose or not
+    inside, menu, lines = [False] * total, [False] * total, []
+    for e in range(total):
+        up = page.parents[e]
+        inside[e] = e in kept or (up >= 0 and inside[up])
+        if e not in kept and up >= 0:
+            menu[e] = menu[up] or (not whole and page.tags[e] in LISTS and density.get(e, 0.0) > MENU)
+    for k, (owner, text, _) in enumerate(blocks):
+        if inside[owner] and not (menu[owner] and k < first):
             lines.append(text)
     return "\n".join(lines)
 

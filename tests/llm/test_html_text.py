@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import pytest
 
@@ -93,3 +94,25 @@ def test_awkward_rows(spark):
     got = H.extracted(pages)
     assert sorted((r["text"], r["n_chars"]) for r in got.collect()) == [("", 0), ("", 0), ("t", 1)]
     assert H.extracted(pages.limit(0)).count() == 0
+
+
+def test_nothing_of_the_content_is_lost():
+    head = "<h1>Head line</h1>"
+    assert main_text(f"<body>{head}<div>{PROSE}{PROSE}</div></body>") == f"Head line\n{SAID}\n{SAID}"
+    assert main_text(f"<body>{head}<div><div>{PROSE}{PROSE}</div></div></body>") == f"Head line\n{SAID}\n{SAID}"
+    assert main_text(f"<body><div>{PROSE}{PROSE}</div><p>The end.</p></body>") == f"{SAID}\n{SAID}\nThe end."
+    references = "<ul><li><a href=a>Ref one</a></li><li><a href=b>Ref two</a></li></ul>"
+    assert main_text(f"<body><div>{PROSE}{PROSE}{references}</div></body>") == f"{SAID}\n{SAID}\nRef one\nRef two"
+    assert main_text(f"<body><div>{references}{PROSE}{PROSE}</div></body>") == f"{SAID}\n{SAID}"
+    line = "He sold <span class='share'>a share of stock</span> and <b id=notice>a notice</b> came, <i class=ad>Buy!</i>so he left."
+    assert main_text(f"<article><p>{line}</p></article>") == "He sold a share of stock and a notice came, so he left."
+    assert main_text(f"<body><form action=x><div>{ARTICLE}</div><p>Log in</p></form></body>") == TEXT
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, "<a \"" * 250_000, "</" * 500_000, "<div>word " * 100_000, "</b>" * 250_000,
+                                  "<script " * 120_000, "<!-" * 300_000, "<p>" + "<i>" * 100_000 + "x" + "</u>" * 100_000,
+                                  "<div class=related>" * 50_000 + PROSE], ids=range(9))
+def test_a_megabyte_of_anything_takes_seconds(page):
+    began = time.process_time()
+    main_text(page)
+    assert time.process_time() - began < 5
