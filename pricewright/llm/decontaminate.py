@@ -3,9 +3,9 @@
 The windows of the benchmark are hashed into sorted arrays. A scan hashes the
 words of a batch of documents, looks every window up, and confirms each hit on
 the words themselves. The benchmark is cut into blocks of at most
-``BLOCK_WORDS`` words, the proven bound of what is broadcast at once. Hits are
-taken from the same text over all blocks before anything is cut, so the result does
-not depend on the number of blocks.
+``BLOCK_WORDS`` words (on average; items are dealt by hash), 40 bytes each. A report over more than
+``TOGETHER`` blocks writes its state between groups of them and drops their broadcasts. Hits are taken from the
+same text over all blocks before anything is cut, so the result does not depend on the number of blocks.
 """
 
 from __future__ import annotations
@@ -18,60 +18,84 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from pricewright.llm import words as W
 from pricewright.llm.ship import shipped
+from pricewright.staging import staged
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
+TOGETHER = 4
 _FOLD = W.ALNUM.folded
 _SIEVE_BITS = 20
 
 
 class Block:
-    """Windows of some items: by length, a sieve, sorted hashes, and the items of each exact window."""
+    """Windows of some items in flat arrays: about 40 bytes a word, whatever the words are.
+
+    ``spelled`` holds the folded words of all items, one space between them, ``at`` where each begins. By length of
+    window: a sieve, the sorted hashes, and beside each hash the first word of its window and its item.
+    """
 
     def __init__(self, items: list[tuple[object, bytes]], window: int):
-        self.lengths: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        self.items: dict[bytes, set] = defaultdict(set)
-        hashes = defaultdict(list)
-        for item, text in items:
-            found = W.words(pa.array([text], pa.binary()), W.ALNUM)
-            n = len(found.hashes)
-            size = min(window, n)
-            if not n:
-                continue
-            spelled = [found.text_of(k, _FOLD) for k in range(n)]
-            for k in range(n - size + 1):
-                self.items[b" ".join(spelled[k:k + size])].add("" if item is None else str(item))
-            hashes[size].append(W.windows(found.hashes, size))
-        for size, parts in hashes.items():
-            known = np.unique(np.concatenate(parts))
+        self.names = ["" if item is None else str(item) for item, _ in items]
+        found = W.words(pa.array([text for _, text in items], pa.binary()), W.ALNUM)
+        self.spelled, self.at = _spelled(found)
+        self.lengths: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
+        counts = np.diff(found.bounds)
+        sizes = np.minimum(counts, window)
+        for size in np.unique(sizes[sizes > 0]).tolist():
+            own = np.flatnonzero(sizes == size)
+            each = counts[own] - size + 1
+            item = np.repeat(own, each)
+            first = np.arange(len(item)) - np.repeat(np.cumsum(each) - each, each) + found.bounds[item]
+            known = W.windows(found.hashes, size)[first]
+            order = np.argsort(known, kind="stable")
+            known = known[order]
             sieve = np.zeros(1 << _SIEVE_BITS, dtype=bool)
             sieve[known >> np.uint64(64 - _SIEVE_BITS)] = True
-            self.lengths[size] = (sieve, known)
+            self.lengths[size] = (sieve, known, first[order], item[order].astype(np.int32))
+
+    def _owners(self, size: int, low: int, high: int, words: bytes) -> set[str]:
+        """Items of the windows ``low`` to ``high`` that are spelled like this; a hash alone proves nothing."""
+        _, _, first, item = self.lengths[size]
+        return {self.names[item[k]] for k in range(low, high)
+                if self.spelled[self.at[first[k]]:self.at[first[k] + size] - 1] == words}
 
     def hits(self, found: W.Words) -> list[tuple[int, int, set]]:
         """First word, number of words and items of every confirmed window, over the whole batch."""
         out = []
-        for size, (sieve, known) in self.lengths.items():
+        for size, (sieve, known, _, _) in self.lengths.items():
             runs = W.windows(found.hashes, size)
             maybe = np.flatnonzero(sieve[runs >> np.uint64(64 - _SIEVE_BITS)])
-            at = np.minimum(np.searchsorted(known, runs[maybe]), len(known) - 1)
-            maybe = maybe[known[at] == runs[maybe]]
-            whole = np.searchsorted(found.bounds, maybe, "right") == np.searchsorted(
-                found.bounds, maybe + size - 1, "right")
-            for k in maybe[whole].tolist():
-                owners = self.items.get(b" ".join(found.text_of(j, _FOLD) for j in range(k, k + size)))
+            low, high = (np.searchsorted(known, runs[maybe], side) for side in ("left", "right"))
+            whole = (high > low) & (np.searchsorted(found.bounds, maybe, "right") == np.searchsorted(
+                found.bounds, maybe + size - 1, "right"))
+            for k, a, b in zip(maybe[whole].tolist(), low[whole].tolist(), high[whole].tolist()):
+                owners = self._owners(size, a, b, b" ".join(found.text_of(j, _FOLD) for j in range(k, k + size)))
                 if owners:
                     out.append((k, size, owners))
         return out
 
 
+def _spelled(found: W.Words) -> tuple[bytes, np.ndarray]:
+    """The folded words with a space behind each, and where each begins (and the end)."""
+    size = found.ends - found.starts + 1
+    at = np.concatenate(([0], np.cumsum(size)))
+    place = np.arange(at[-1]) - np.repeat(at[:-1], size) + np.repeat(found.starts, size)
+    out = _FOLD[np.append(found.data, 32).astype(np.uint8)[np.minimum(place, len(found.data))]]
+    out[at[1:] - 1] = 32
+    return out.tobytes(), at
+
+
 def blocks(benchmark: DataFrame, window: int = WINDOW, id_col: str = "item_id", text_col: str = "text",
            block_words: int = BLOCK_WORDS):
-    """The benchmark as blocks of bounded size, one at a time; items without text are left out."""
+    """The benchmark as blocks of bounded size, one at a time; items without text are left out.
+
+    A word and what parts it from the next take two characters at least, so a block of twice
+    ``block_words`` characters has no more words than that. Items are not divided: one of more words is a block alone.
+    """
     rows = benchmark.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")
                             ).where(F.length("text") > 0).distinct()
     total = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    parts = 1 + int(total // (6 * block_words))
+    parts = 1 + int(total // (2 * block_words))
     for part in range(parts):
         own = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == part)
         yield Block([(r[0], r[1].encode()) for r in own.toLocalIterator()], window)
@@ -120,11 +144,17 @@ def scanned(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", te
         F.lit(0).cast("long").alias("__n"), F.lit(0).cast("long").alias("__hit"),
         F.lit(None).cast("binary").alias("__mask"), F.lit(None).cast("array<string>").alias("__items"))
     full = list(frame.schema.fields)
-    held = [spark.sparkContext.broadcast(b) for b in blocks(benchmark, window, item_col, item_text, block_words)]
-    for at, block in enumerate(held):
-        fields = [f for f in full if f.name != "__bytes" or at < len(held) - 1]
-        frame = frame.mapInArrow(_scan(block, [f.name for f in fields]), T.StructType(fields))
-    return frame
+    held: list = []
+    for block in blocks(benchmark, window, item_col, item_text, block_words):
+        if len(held) == TOGETHER:
+            # the next group of blocks starts from a written table, and this one's broadcasts can go
+            frame = staged(frame, "scanned")
+            for old in held:
+                old.unpersist(blocking=True)
+            held = []
+        held.append(spark.sparkContext.broadcast(block))
+        frame = frame.mapInArrow(_scan(held[-1], [f.name for f in full]), T.StructType(full))
+    return frame.drop("__bytes")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",

@@ -115,3 +115,13 @@ def test_awkward_rows_and_empty_tables(spark):
     assert not any(r["contaminated"] for r in D.contamination(messy(spark), none).collect())
     assert D.contamination(empty(spark), bench).count() == 0
     assert D.remove_spans(messy(spark), none).count() == 11
+
+
+def test_a_block_is_flat_and_small():
+    rng = random.Random(0)
+    items = [(k, " ".join(f"w{rng.randrange(10**6)}" for _ in range(400)).encode()) for k in range(250)]
+    block = D.Block(items, 10)
+    held = len(block.spelled) + block.at.nbytes + sum(x.nbytes for parts in block.lengths.values() for x in parts)
+    assert held < 45 * 100_000 + (1 << 20)
+    found = D.W.words(D.W.pa.array([b"so " + items[7][1][:200] + b" it"]), D.W.ALNUM)
+    assert {i for _, _, owners in block.hits(found) for i in owners} == {"7"}
