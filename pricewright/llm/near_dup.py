@@ -74,21 +74,26 @@ def _packed(minima: np.ndarray) -> np.ndarray:
     return np.concatenate(planes, axis=1).view(np.uint64)
 
 
+#: Bytes of text whose words a task holds at a time.
+SLICE = 1 << 22
+
+
 def _signature_batches(words: int):
     def run(batches):
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
-            sizes, digests, minima = [], [], []
-            for own in W.shingles(W.words(texts, W.SPACED), words):
-                sizes.append(len(own))
-                digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
-                minima.append(_minima(own))
-            table = np.array(minima, dtype=np.uint32).reshape(-1, HASHES)
-            lists = [pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32),
-                                              x.view(np.int64).ravel()) for x in (_band_keys(table), _packed(table))]
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), *lists],
-                ["id", "n", "digest", "bands", "planes"])
+            for low, high in W.slices(batch.column(1), SLICE):
+                ids, texts = (batch.column(k).slice(low, high - low) for k in (0, 1))
+                sizes, digests, minima = [], [], []
+                for own in W.shingles(W.words(texts, W.SPACED), words):
+                    sizes.append(len(own))
+                    digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
+                    minima.append(_minima(own))
+                table = np.array(minima, dtype=np.uint32).reshape(-1, HASHES)
+                lists = [pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32),
+                                                  x.view(np.int64).ravel()) for x in (_band_keys(table), _packed(table))]
+                yield pa.RecordBatch.from_arrays(
+                    [ids, pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), *lists],
+                    ["id", "n", "digest", "bands", "planes"])
     return run
 
 
