@@ -5,6 +5,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from pricewright.functions.numeric import r_squared
 from pricewright.operators import clean, explore, features, models, score, tuning
 from pricewright.sources import tables
 from pricewright.spec import AIRFARES
@@ -73,6 +74,13 @@ def test_empty_folds_and_wide_vectors(spark, monkeypatch):
                                (F.col("id") % 3).cast("int").alias("fold")))
     assert tuning.cross_validate("ridge", [{"alpha": 0.1}], df, 4).where("val_r2 > 0.9").count() == 3
     narrow = {r["fold"]: r["val_r2"] for r in tuning.cross_validate("ridge", [{"alpha": 1e-6}], df, 3).collect()}
+    fitted = {}
+    for k in range(3):
+        model = models.fit("ridge", {"alpha": 1e-6}, df.where(F.col("fold") != k))
+        fitted[k] = model.transform(df.where(F.col("fold") == k)).agg(
+            r_squared(F.col("label"), F.col("prediction"))).first()[0]
+    assert narrow == pytest.approx(fitted, abs=1e-6)
+    # wider vectors than a driver can hold the products of are refused, not searched by another solver
     monkeypatch.setattr(tuning, "MAX_WIDTH", 1)
-    wide = {r["fold"]: r["val_r2"] for r in tuning.cross_validate("ridge", [{"alpha": 1e-6}], df, 3).collect()}
-    assert wide == pytest.approx(narrow, abs=1e-3)
+    with pytest.raises(ValueError, match="do not fit a driver"):
+        tuning.cross_validate("ridge", [{"alpha": 1e-6}], df, 3)
