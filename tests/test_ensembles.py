@@ -108,6 +108,18 @@ def test_path_scores_equal_single_fits(table, monkeypatch, name, candidates, fit
         np.testing.assert_allclose(found[at], scores, atol=1e-9)
 
 
+def test_rows_stay_where_they_are_beside_the_leaves_of_a_tree(table):
+    """Dealt by leaf, a tree of three leaves would bring the whole table into three tasks."""
+    model = models.fit("tree", {"max_depth": 2}, table, key="id")
+    placed, cut = ensembles.depth_path(model, table, [1, 2])
+    table.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = placed.select(*cut)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        table.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(number" not in plan
+
+
 def test_moments_equal_numpy(spark):
     x = np.c_[X[:, :2], (np.arange(N) % 5 == 2).astype(float), np.full(N, 3.0)]
     got = tuning.grouped_moments(rows_of(spark, x, Y + 1e6), ["fold"])
