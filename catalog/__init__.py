@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import wraps
 from importlib import import_module
 
-from pricewright.session import tuned
+from pricewright.session import input_bytes, tuned
 
 _SECTIONS = ("sources", "profiling", "cleaning", "features", "explore", "models", "evaluate", "scoring")
 
@@ -20,7 +20,7 @@ def _merged(attribute: str) -> dict:
 def _in_tuned_session(query):
     @wraps(query)
     def run(spark, sf_dir):
-        return query(tuned(spark), sf_dir)
+        return query(tuned(spark, input_bytes(spark, sf_dir)), sf_dir)
     return run
 
 
