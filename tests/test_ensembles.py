@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from fixtures.sql import bag_weight as bag_weight_sql
 from pricewright.functions import numeric
 from pricewright.operators import ensembles, models, tuning
+from pricewright.plans.train_plan import train_all
+from pricewright.spec import AIRFARES
 
 RNG = np.random.default_rng(21)
 N = 900
@@ -120,6 +122,19 @@ def test_rows_stay_where_they_are_beside_the_leaves_of_a_tree(table):
     assert "BroadcastHashJoin" in plan and "hashpartitioning(number" not in plan
 
 
+def test_tree_learners_of_a_training_run_share_one_layout(table, monkeypatch):
+    calls = []
+    real = ensembles.laid_out
+    encoded = table.select("*", (F.col("id") % 7 == 0).alias("is_test"))
+    chosen = {"tree": {"max_depth": 2}, "gbt_depth": {"n_estimators": 2, "max_depth": 2}}
+    alone = {n: models.fit(n, p, encoded.filter("NOT is_test"), key="id") for n, p in chosen.items()}
+    monkeypatch.setattr(ensembles, "laid_out", lambda *a, **k: calls.append(1) or real(*a, **k))
+    trained = train_all(encoded, None, AIRFARES, "id", learners=tuple(chosen), params=chosen)
+    assert len(calls) == 1
+    for name, model in alone.items():
+        np.testing.assert_allclose(predictions(trained.models[name], table), predictions(model, table), atol=1e-12)
+
+
 def test_moments_equal_numpy(spark):
     x = np.c_[X[:, :2], (np.arange(N) % 5 == 2).astype(float), np.full(N, 3.0)]
     got = tuning.grouped_moments(rows_of(spark, x, Y + 1e6), ["fold"])
