@@ -189,3 +189,48 @@ def test_folds_without_rows_have_no_scores(table):
     assert [r["val_r2"] is None for r in sorted(rows, key=lambda r: r["fold"])] == [False] * 4 + [True]
     assert all(r["train_r2"] is None and r["val_r2"] is None for r in tuning.cross_validate(
         "ridge", [{"alpha": 1.0}], table.where("fold > 9"), 5).collect())
+
+
+@pytest.fixture
+def repeated(spark):
+    """3,000 rows of 12 feature vectors."""
+    own = np.random.default_rng(5)
+    x = np.c_[own.integers(0, 3, 3000), own.integers(0, 4, 3000)].astype(float)
+    return rows_of(spark, x, 1e3 + x[:, 0] * x[:, 1] + own.normal(size=3000)).cache()
+
+
+def rows_fitted(monkeypatch):
+    seen, real = [], models.DecisionTreeRegressor.fit
+    monkeypatch.setattr(models.DecisionTreeRegressor, "fit", lambda self, df: seen.append(df.count()) or real(self, df))
+    return seen
+
+
+@pytest.mark.parametrize("params", [{"max_depth": 3}, {"max_depth": 5, "min_samples_leaf": 300},
+                                    {"max_depth": 5, "min_samples_leaf": 1600}])
+def test_a_tree_is_fitted_on_the_distinct_vectors(repeated, monkeypatch, params):
+    monkeypatch.setattr(ensembles, "FOLD_AT", 1e9)
+    whole = models.fit("tree", params, repeated, key="id")
+    monkeypatch.undo()
+    seen = rows_fitted(monkeypatch)
+    fitted = [models.fit("tree", params, repeated.repartition(n), key="id") for n in (2, 7)]
+    assert seen == [12, 12]
+    for model in fitted:
+        np.testing.assert_allclose(predictions(model, repeated), predictions(whole, repeated), atol=1e-9)
+        assert model.numNodes == whole.numNodes
+    assert fitted[0].toDebugString.split("\n")[1:] == fitted[1].toDebugString.split("\n")[1:]
+
+
+def test_scores_of_folded_rows_are_those_of_the_rows(repeated, monkeypatch):
+    def scores():
+        curve = tuning.learning_curve("tree", {"max_depth": 3}, repeated, "id", 42, sizes=(0.2, 1.0)).collect()
+        folds = tuning.cross_validate("tree", [{"max_depth": d} for d in (1, 3)], repeated, 2, key="id")
+        return [*map(tuple, curve), *(tuple(r)[3:] for r in folds.orderBy("candidate", "fold").collect())]
+
+    monkeypatch.setattr(ensembles, "FOLD_AT", 1e9)
+    whole = scores()
+    monkeypatch.undo()
+    seen = rows_fitted(monkeypatch)
+    folded = scores()
+    assert seen and max(seen) <= 12 * 3 * 2
+    for mine, theirs in zip(folded, whole, strict=True):
+        np.testing.assert_allclose(mine, theirs, atol=1e-9)
