@@ -22,6 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from pricewright.llm import marks
 from pricewright.llm.ship import shipped
 from pricewright.staging import staged
 
@@ -128,20 +129,20 @@ def mixture(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     take. Rows equal in id, source and size are decided together and each keeps its row;
     null ids are allowed. An empty table gives no rows. Other columns are not looked at.
     """
-    out = _decisions(docs, id_col, text_col, source_col, weights, share, ceiling, block, seed)
+    sizes = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"),
+                        n_words(text_col).alias("size"))
+    out = _decisions(sizes, weights, share, ceiling, block, seed)
     return out.select(F.col("id").alias(id_col), "size", "source_size", "target", "taken",
                       F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))).alias("__row")).drop("__row")
 
 
-def _decisions(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], share: float,
-               ceiling: float, block: int, seed: int) -> DataFrame:
-    """``id, source, size, rows, source_size, target, taken``, one row per distinct id, source and size."""
+def _decisions(sized: DataFrame, weights: tuple[int, ...], share: float, ceiling: float, block: int,
+               seed: int) -> DataFrame:
+    """``id, source, size, rows, source_size, target, whole, taken``, one row per distinct id, source and size."""
     if block < 2 * LANDING:
         raise ValueError(f"block must be {2 * LANDING} or more")
-    shipped(docs.sparkSession)
-    sizes = staged(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"),
-                               n_words(text_col).alias("size"))
-                   .groupBy("id", "source", "size").agg(F.count("*").alias("rows")), "sizes")
+    shipped(sized.sparkSession)
+    sizes = staged(sized.groupBy("id", "source", "size").agg(F.count("*").alias("rows")), "sizes")
     goal = staged(targets(sizes.select("source", (F.col("size") * F.col("rows")).alias("size")),
                           weights, share, ceiling), "targets")
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -168,7 +169,7 @@ def _decisions(docs: DataFrame, id_col: str, text_col: str, source_col: str, wei
         out = out.unionByName(more)
     taken = (F.col("whole") + F.round("chance").cast("long")) * F.col("size")
     return out.select("id", "source", "size", "rows", F.col("source_size").cast("long").alias("source_size"),
-                      "target", taken.cast("long").alias("taken"))
+                      "target", "whole", taken.cast("long").alias("taken"))
 
 
 def mixed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -176,11 +177,20 @@ def mixed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", so
           block: int = BLOCK, seed: int = SEED) -> DataFrame:
     """The documents that the mix takes, with their columns and ``size, source_size, target, taken``.
 
-    Columns of these names are replaced.
+    Columns of these names are replaced. No text moves for it: all documents of a source are taken equally often or
+    once more, and by their place rows learn which; the row of each source is sent to every task.
     """
-    chosen = staged(_decisions(docs, id_col, text_col, source_col, weights, share, ceiling, block, seed).where(
-        "taken > 0").select(F.col("id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"),
-                            "source_size", "target", "taken"), "chosen")
-    own = docs.drop("source_size", "target", "taken").withColumn("size", n_words(text_col))
-    return own.join(chosen, own[id_col].eqNullSafe(chosen["__id"]) & own[source_col].eqNullSafe(chosen["__source"])
-                    & (own["size"] == chosen["__size"])).drop("__id", "__source", "__size")
+    rows = marks.placed(docs)
+    sized = staged(rows.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"),
+                               n_words(text_col).alias("size"), *marks.PLACE), "sized")
+    decided = staged(_decisions(sized.drop(*marks.PLACE), weights, share, ceiling, block, seed), "decided")
+    more = decided.where("taken > whole * size").select("id", "source", "size")
+    same = [sized[c].eqNullSafe(more[c]) for c in more.columns]
+    places = sized.join(more, same[0] & same[1] & same[2], "left_semi").select(*marks.PLACE)
+    sources = staged(decided.select(F.col("source").alias("__source"), "source_size", "target",
+                                    F.col("whole").alias("__whole")).distinct(), "sources")
+    own = rows.drop("source_size", "target", "taken").withColumn("size", n_words(text_col))
+    marked = marks.with_mark(own, places, "__more")
+    joined = marked.join(F.broadcast(sources), marked[source_col].eqNullSafe(sources["__source"]))
+    taken = ((F.col("__whole") + F.col("__more").cast("long")) * F.col("size")).cast("long")
+    return joined.withColumn("taken", taken).where("taken > 0").drop("__source", "__whole", "__more")

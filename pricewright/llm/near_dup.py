@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from pricewright.llm import words as W
+from pricewright.llm import marks, words as W
 from pricewright.llm.components import components
 from pricewright.llm.ship import shipped
 from pricewright.staging import staged
@@ -344,18 +344,21 @@ def keep_one(docs: DataFrame, *, words: int = 5, percent: int = 80, id_col: str
 
     Rows that share an id are documents of their own here: where ids repeat, id and text
     tell rows apart, and only rows of the same id and text fold into one. Rows without an
-    id stay.
+    id stay. No text moves for it: rows learn by their place whether they stay.
     """
     own = F.col(f"`{id_col}`")
-    if docs.where(own.isNotNull()).groupBy(own.alias("__id")).count().where("count > 1").isEmpty():
-        classes = near_duplicates(docs, words=words, percent=percent, id_col=id_col, text_col=text_col)
-        kept = staged(classes.where("kept").select(own.alias("__id")), "kept")
-        return docs.join(kept, own.eqNullSafe(F.col("__id")), "left_semi")
+    rows = marks.placed(docs)
+    if rows.where(own.isNotNull()).groupBy(own.alias("__id")).count().where("count > 1").isEmpty():
+        classes = near_duplicates(rows, words=words, percent=percent, id_col=id_col, text_col=text_col)
+        others = classes.where("NOT kept").select(own.alias("__id"))
+        places = rows.select(own.alias("__id"), *marks.PLACE).join(others, "__id", "left_semi")
+        return marks.with_mark(rows, places, "__copy").where("NOT __copy").drop("__copy")
     said = F.coalesce(F.sha2(F.col(f"`{text_col}`").cast("binary"), 256), F.lit(""))
-    keyed = docs.withColumn("__row", F.concat(own.cast("string"), F.lit(":"), said))
+    keyed = rows.withColumn("__row", F.concat(own.cast("string"), F.lit(":"), said))
     classes = near_duplicates(keyed, words=words, percent=percent, id_col="__row", text_col=text_col)
-    ids = keyed.where(own.isNotNull()).select("__row", own.alias("__id")).distinct()
-    kept = staged(classes.join(ids, "__row").groupBy("component_id").agg(F.min(F.struct("__id", "__row")).alias("first"))
-                  .select("first.__row"), "kept")
-    once = keyed.join(kept, "__row", "left_semi").dropDuplicates(["__row"])
-    return once.unionByName(keyed.where(own.isNull())).drop("__row")
+    known = staged(keyed.where(own.isNotNull()).groupBy("__row", own.alias("__id")).agg(
+        F.min(F.struct(*marks.PLACE)).alias("place")), "known")
+    first = classes.where("__row IS NOT NULL").select("__row", "component_id").distinct().join(known, "__row").groupBy(
+        "component_id").agg(F.min(F.struct("__id", "__row", "place")).alias("first"))
+    marked = marks.with_mark(rows, first.select("first.place.*"), "__kept")
+    return marked.where(F.col("__kept") | own.isNull()).drop("__kept")
