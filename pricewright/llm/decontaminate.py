@@ -101,13 +101,24 @@ def blocks(benchmark: DataFrame, window: int = WINDOW, id_col: str = "item_id",
         yield Block([(r[0], r[1].encode()) for r in own.toLocalIterator()], window)
 
 
+#: Bytes of text whose words a task holds at a time.
+SLICE = 1 << 22
+
+
+def _sliced(batches, text_col: str):
+    """The batches in pieces of about ``SLICE`` bytes of text, one row at least."""
+    for batch in batches:
+        for low, high in W.slices(batch.column(batch.schema.names.index(text_col)), SLICE):
+            yield batch.slice(low, high - low)
+
+
 _STATE = {"__n": pa.int64(), "__hit": pa.int64(), "__mask": pa.binary(), "__items": pa.list_(pa.string())}
 
 
 def _scan(held, kept: list[str]):
     def run(batches):
         block = held.value
-        for batch in batches:
+        for batch in _sliced(batches, "__bytes"):
             names = batch.schema.names
             found = W.words(batch.column(names.index("__bytes")), W.ALNUM)
             bounds, rows = found.bounds, batch.num_rows
@@ -217,9 +228,10 @@ def _without_hits(block: Block | _Held, text: bytes) -> tuple[bytes, int, int]:
         text = b"".join([*parts, text[at:]])
 
 
-def _cutter(block: _Held, text_at: int, drop_share: float):
+def _cutter(block: _Held, text_col: str, drop_share: float):
     def run(batches):
-        for batch in batches:
+        for batch in _sliced(batches, text_col):
+            text_at = batch.schema.names.index(text_col)
             found = W.words(batch.column(text_at), W.ALNUM)
             touched = {int(np.searchsorted(found.bounds, first, "right")) - 1 for first, _, _ in block.hits(found)}
             if not touched:
@@ -246,7 +258,6 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text
     """
     held = [shipped(docs.sparkSession).sparkContext.broadcast(b)
             for b in blocks(benchmark, window, item_col, item_text, block_words)]
-    names = docs.columns
     frame = docs.withColumn(text_col, F.col(f"`{text_col}`").cast("binary"))
-    frame = frame.mapInArrow(_cutter(_Held(held), names.index(text_col), drop_share), frame.schema)
+    frame = frame.mapInArrow(_cutter(_Held(held), text_col, drop_share), frame.schema)
     return frame.withColumn(text_col, F.col(f"`{text_col}`").cast("string"))

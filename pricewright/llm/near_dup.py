@@ -129,11 +129,13 @@ def _any_bit(columns: list[Column]) -> Column:
 def _confirm_batches(words: int, percent: int):
     def run(batches):
         for batch in batches:
-            lists = [list(W.shingles(W.words(batch.column(k), W.SPACED), words)) for k in (2, 3)]
             keep = []
-            for own, other in zip(*lists):
-                both = len(np.intersect1d(own, other, assume_unique=True))
-                keep.append(both > 0 and 100 * both >= percent * (len(own) + len(other) - both))
+            # the words of one slice at a time, as the texts of a slice's other side are about as long
+            for low, high in W.slices(batch.column(2), SLICE):
+                texts = (batch.column(k).slice(low, high - low) for k in (2, 3))
+                for own, other in zip(*(W.shingles(W.words(t, W.SPACED), words) for t in texts)):
+                    both = len(np.intersect1d(own, other, assume_unique=True))
+                    keep.append(both > 0 and 100 * both >= percent * (len(own) + len(other) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
     return run
 

@@ -125,3 +125,40 @@ def test_a_block_is_flat_and_small():
     assert held < 45 * 100_000 + (1 << 20)
     found = D.W.words(D.W.pa.array([b"so " + items[7][1][:200] + b" it"]), D.W.ALNUM)
     assert {i for _, _, owners in block.hits(found) for i in owners} == {"7"}
+
+
+def _handed(monkeypatch, module):
+    """Bytes of text of every call that takes words."""
+    seen, taken = [], module.W.words
+    monkeypatch.setattr(module.W, "words", lambda column, by: seen.append(column.nbytes) or taken(column, by))
+    return seen
+
+
+def test_words_are_taken_from_a_slice_of_a_batch(monkeypatch):
+    tail = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    block = D.Block([(1, tail("p", 12).encode())], 10)
+    texts = [f"{tail('x', 200)} {tail('p', 12) if k % 7 == 0 else ''} {tail('y', 200)}".encode() for k in range(60)]
+    texts[3], texts[4], texts[7] = None, b"", tail("p", 12).encode()
+    pa, kept = D.W.pa, [*D._STATE]
+    whole = pa.RecordBatch.from_arrays([pa.array(range(60)), pa.array(texts, pa.binary())], ["doc_id", "text"])
+    blank = [pa.array([0] * 60, pa.int64()), pa.array([0] * 60, pa.int64()), pa.nulls(60, pa.binary()),
+             pa.nulls(60, pa.list_(pa.string()))]
+    fresh = pa.RecordBatch.from_arrays([whole.column(1), *blank], ["__bytes", *kept])
+    held = type("Held", (), {"value": block})
+    cut = lambda: [r for b in D._cutter(D._Held([held]), "text", 0.5)([whole]) for r in b.to_pylist()]
+    scan = lambda: [r for b in D._scan(held, kept)([fresh]) for r in b.to_pylist()]
+    monkeypatch.setattr(D, "SLICE", 1 << 30, raising=False)
+    want = cut(), scan()
+    assert len(want[0]) == 59 and sum(r["__hit"] > 0 for r in want[1]) == 9
+    seen = _handed(monkeypatch, D)
+    monkeypatch.setattr(D, "SLICE", 4000, raising=False)
+    assert (cut(), scan()) == want
+    assert max(seen) < 5000
+
+
+def test_words_do_not_depend_on_pieces(monkeypatch):
+    texts = D.W.pa.array([b"so it " * 900, None, b"x" * 3000, b"a,b;  c"], D.W.pa.binary())
+    want = D.W.words(texts, D.W.ALNUM)
+    monkeypatch.setattr(D.W, "PIECE", 64)
+    got = D.W.words(texts, D.W.ALNUM)
+    assert all((a == b).all() for a, b in zip(got, want))

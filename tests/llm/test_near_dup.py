@@ -114,3 +114,18 @@ def test_words_of_a_batch(monkeypatch):
     assert np.diff(found.bounds).tolist() == [2, 0, 1, 0, 2, 3]
     same = {w: {h for x, h in zip(spelled, found.hashes.tolist()) if x == w} for w in set(spelled)}
     assert all(len(v) == 1 for v in same.values()) and len({min(v) for v in same.values()}) == len(same)
+
+
+def test_pairs_are_confirmed_by_slices(monkeypatch):
+    text = lambda k, n: " ".join(f"w{k}x{i}" for i in range(n)).encode()
+    u = [text(k, 100) for k in range(40)]
+    v = [text(k, 95) if k % 2 else text(k + 1, 100) for k in range(40)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(40)), pa.array(range(100, 140)), pa.array(u, pa.binary()), pa.array(v, pa.binary())],
+        ["u", "v", "text_u", "text_v"])
+    seen, taken = [], W.words
+    monkeypatch.setattr(W, "words", lambda column, by: seen.append(column.nbytes) or taken(column, by))
+    monkeypatch.setattr(near_dup, "SLICE", 2000)
+    rows = [r for b in near_dup._confirm_batches(3, 85)([batch]) for r in b.to_pylist()]
+    assert rows == [{"u": k, "v": k + 100} for k in range(1, 40, 2)]
+    assert max(seen) < 3000
