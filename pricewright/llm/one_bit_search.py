@@ -226,12 +226,16 @@ def _scanned(shared: Broadcast, keep: int, error: float):
 
 
 def _scan(index: Index, visits: DataFrame, keep: int, error: float) -> DataFrame:
-    """``asked, id, distance`` for rows ``list, asked, vec, bound``: lists and their queries meet in cells."""
+    """``asked, id, distance`` for rows ``list, asked, vec, bound``: lists and their queries meet in cells.
+
+    The plan of the cells, a row a list, is what both joins send. The visits repeat a query's vector for each list: a
+    few bytes a row in their file and hundreds in memory, so the file's size must not decide.
+    """
     spark = visits.sparkSession
     asked = dict(visits.groupBy("list").count().collect())
-    plan = spark.createDataFrame(
+    plan = F.broadcast(spark.createDataFrame(
         [(at, -(-index.sizes[at] // CELL), -(-asked[at] // ASKED)) for at in asked if at in index.sizes],
-        "list int, blocks int, parts int")
+        "list int, blocks int, parts int"))
     key = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     rows = index.table.join(plan, "list").withColumn("block", key("id", "blocks")).withColumn("part", every("parts"))
@@ -307,7 +311,8 @@ def nearest(index: Index | None, queries: DataFrame, *, id_col: str = "vec_id",
         [*homes.schema.fields, T.StructField("bound", T.DoubleType())])), "visits")
     more = _scan(index, visits, k + 1, error)
     found = staged(_best(first.drop("place").union(more), k + 1).drop("place"), "found")
-    named = rows.join(own.withColumnRenamed("vec", "same"), F.col("vec") == F.col("same")).select(
+    # equal vectors take little of a file too
+    named = rows.join(own.withColumnRenamed("vec", "same").hint("merge"), F.col("vec") == F.col("same")).select(
         F.col("id").alias("query_id"), "asked")
     ranked = Window.partitionBy("query_id", "asked").orderBy("distance", "id")
     return named.join(found, "asked").where("query_id != id").withColumn(

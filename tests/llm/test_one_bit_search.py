@@ -110,3 +110,15 @@ def test_result_does_not_depend_on_partitions(spark):
     runs = [answers(search.nearest(search.build(t), t.where("vec_id % 10 = 0")))
             for t in (table.repartition(2), table.repartition(7, "vec_id"))]
     assert runs[0] == runs[1]
+
+
+def test_only_the_plan_of_the_cells_is_sent(spark):
+    rng = np.random.default_rng(5)
+    table = frame(spark, enumerate(rng.standard_normal((400, 64))))
+    index = search.build(table)
+    own = table.where("vec_id % 4 = 0").selectExpr("vec_id AS asked", "embedding AS vec")
+    lists = spark.createDataFrame([(at,) for at in index.sizes], "list int")
+    # one vector for many lists is small in a file and large in memory
+    visits = search.staged(own.crossJoin(lists).selectExpr("list", "asked", "vec", "double('inf') AS bound"), "visits")
+    plan = search._scan(index, visits, 11, 3.0)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("BuildRight") == 2 and "BuildLeft" not in plan
