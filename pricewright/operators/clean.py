@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from pricewright.functions.numeric import drop_nan, parse_double, percent
 from pricewright.operators.profile import describe_numeric, null_counts
 from pricewright.sources.tables import presence
-from pricewright.staging import staged
+from pricewright.staging import read_bytes, slices, staged
 from pricewright.spec import DOUBLE, LONG, STRING, TIME, TableSpec
 
 
@@ -220,6 +222,22 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def distinct_pieces(df: DataFrame, distinct: Callable[[DataFrame], DataFrame] = drop_duplicates) -> Iterator[DataFrame]:
+    """The whole-row distinct of a table in frames to be written one after the other.
+
+    Equal rows are in the same slice. Texts decide which, as they need no parsing: other cells are then only typed in
+    their own slice. A table without texts goes by all its cells.
+    """
+    n = slices(read_bytes(df))
+    if n == 1:
+        yield distinct(df)
+        return
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    place = F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in texts or df.columns)), F.lit(n))
+    for i in range(n):
+        yield distinct(df.where(place == i))
+
+
 _DIGEST = ("__digest_a", "__digest_b")
 
 
@@ -241,6 +259,11 @@ def drop_duplicates_by_digest(df: DataFrame) -> DataFrame:
     Sixteen bytes a row are shuffled to find digests that repeat; only rows with such a digest move, and
     are told apart by value. All others stay where they are.
     """
+    return distinct_by_digest(df)
+
+
+def distinct_by_digest(df: DataFrame) -> DataFrame:
+    """``drop_duplicates_by_digest`` of one slice."""
     rows = _digested(df)
     repeated = _repeated(rows)
     alone = rows.join(repeated, list(_DIGEST), "left_anti").drop(*_DIGEST)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from pricewright.operators import clean, impute
 from pricewright.spec import TableSpec
-from pricewright.staging import staged
+from pricewright.staging import staged, staged_pieces
 
 
 @dataclass(frozen=True)
@@ -33,8 +33,9 @@ def clean_run(raw: DataFrame, spec: TableSpec, *, reports: bool = True) -> Clean
     in_range = clean.range_filter(typed, spec)
     # the audit precedes relabelling on purpose: it reports the raw labels
     # a written table is cheap to read again, so only digests and rows that may repeat are shuffled
-    distinct = clean.drop_duplicates_by_digest if reports else clean.drop_duplicates
-    unique = staged(distinct(clean.normalise_labels(in_range, spec)), "unique")
+    whole = clean.normalise_labels(in_range, spec)
+    pieces = clean.distinct_pieces(whole, clean.distinct_by_digest if reports else clean.drop_duplicates)
+    unique = staged_pieces(pieces, "unique", whole)
     frame = clean.min_base_filter(impute.impute_config(unique, spec), spec)
     return Cleaned(frame, {} if not reports else {
         "validation_dtypes": clean.dtype_report(renamed, typed, spec),
