@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from catalog import base
+from catalog import base, cleaning
 from fixtures import views
 from pricewright import staging
 from pricewright.operators import clean
@@ -74,6 +74,14 @@ def test_distinct_rows_of_a_large_table_are_found_in_slices(spark, tmp_path, pie
     assert pieces["unique"] > 1
 
 
+@pytest.mark.parametrize("name, columns", [("impute_mode", 3), ("impute_fallback", 3)])
+def test_imputing_a_large_table_writes_typed_and_distinct_rows_only(spark, tmp_path, pieces, name, columns):
+    path = linked(tmp_path)
+    found = cleaning.QUERIES[name](spark, path)
+    assert set(pieces) == {"typed", "unique"} and min(pieces.values()) > 1
+    assert len(found.columns) == columns and rows(found) == rows(cleaning.QUERIES[name](spark, SF))
+
+
 def test_a_cleaning_run_takes_a_large_table_in_slices(spark, pieces):
     cleaned = clean_plan.clean_pipeline(null_tokens(base.raw(spark, SF)), SPEC)
     assert pieces["unique"] > 1 and cleaned.count() == cleaned.distinct().count()
