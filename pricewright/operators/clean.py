@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from pricewright.functions.numeric import drop_nan, parse_double, percent
 from pricewright.operators.profile import describe_numeric, null_counts
 from pricewright.sources.tables import presence
-from pricewright.staging import read_bytes, slices, staged
+from pricewright.staging import read_bytes, slices, staged, staged_pieces
 from pricewright.spec import DOUBLE, LONG, STRING, TIME, TableSpec
 
 
@@ -257,9 +257,12 @@ def drop_duplicates_by_digest(df: DataFrame) -> DataFrame:
     """Whole-row distinct for wide tables of mostly different rows that are cheap to read again.
 
     Sixteen bytes a row are shuffled to find digests that repeat; only rows with such a digest move, and
-    are told apart by value. All others stay where they are.
+    are told apart by value. All others stay where they are. Of a large table nearly all rows may move: it is
+    taken in slices, each written before the next.
     """
-    return distinct_by_digest(df)
+    if slices(read_bytes(df)) == 1:
+        return distinct_by_digest(df)
+    return staged_pieces(distinct_pieces(df, distinct_by_digest), "unique", df)
 
 
 def distinct_by_digest(df: DataFrame) -> DataFrame:

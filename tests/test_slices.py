@@ -85,3 +85,11 @@ def test_imputing_a_large_table_writes_typed_and_distinct_rows_only(spark, tmp_p
 def test_a_cleaning_run_takes_a_large_table_in_slices(spark, pieces):
     cleaned = clean_plan.clean_pipeline(null_tokens(base.raw(spark, SF)), SPEC)
     assert pieces["unique"] > 1 and cleaned.count() == cleaned.distinct().count()
+
+
+def test_digests_of_a_large_table_are_compared_in_slices(spark, pieces):
+    frame = staging.staged(base.in_range(spark, SF).unionByName(base.in_range(spark, SF)), "twice")
+    found = clean.drop_duplicates_by_digest(frame)
+    assert pieces["unique"] > 1 and rows(found) == rows(frame.dropDuplicates())
+    numbers = staging.staged(spark.range(50_000).select((F.col("id") % 30_000).alias("a")), "numbers")
+    assert clean.drop_duplicates_by_digest(numbers).count() == 30_000
