@@ -5,13 +5,14 @@ import time
 from pathlib import Path
 
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from catalog import base, cleaning
 from fixtures import views
 from pricewright import staging
-from pricewright.operators import clean
-from pricewright.plans import clean_plan
+from pricewright.operators import clean, ensembles
+from pricewright.plans import clean_plan, train_plan
 from pricewright.sources.tables import null_tokens
 from pricewright.spec import AIRFARES as SPEC
 
@@ -93,3 +94,12 @@ def test_digests_of_a_large_table_are_compared_in_slices(spark, pieces):
     assert pieces["unique"] > 1 and rows(found) == rows(frame.dropDuplicates())
     numbers = staging.staged(spark.range(50_000).select((F.col("id") % 30_000).alias("a")), "numbers")
     assert clean.drop_duplicates_by_digest(numbers).count() == 30_000
+
+
+def test_a_single_tree_shares_the_distinct_vectors(spark):
+    table = spark.createDataFrame(
+        [(Vectors.dense([float(i % 3)]), float(i % 5), i % 2, i) for i in range(600)], ["features", "label", "fold", "rid"])
+    alone = train_plan._layout(["linear", "tree"], table, "rid")
+    assert ensembles.is_folded(alone) and alone.count() == 6
+    assert alone.agg(F.sum(ensembles.WEIGHT)).first()[0] == 600
+    assert not ensembles.is_folded(train_plan._layout(["tree", "forest"], table, "rid"))
